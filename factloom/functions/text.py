@@ -60,13 +60,17 @@ def has_wildcard(keyword: str) -> bool:
     return "%" in keyword or "_" in keyword
 
 
+def like_pattern(keyword: str) -> str:
+    return "%" + keyword.replace("\\", "\\\\") + "%"
+
+
 def contains_keyword(text: Column, keyword: str, literal: bool = False) -> Column:
     """Case-insensitive substring test. ``%`` and ``_`` in the keyword act as
     wildcards unless ``literal``; a backslash is an ordinary character."""
     word = plain_keyword(keyword, literal)
     if literal or not has_wildcard(word):
         return F.lower(text).contains(F.lower(F.lit(word)))
-    return text.ilike("%" + word.replace("\\", "\\\\") + "%")
+    return text.ilike(like_pattern(word))
 
 
 def contains_all(text: Column, keywords: Sequence[str], literal: bool = False) -> Column:
