@@ -379,19 +379,22 @@ def vector_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_register("""
-    WITH pairs AS (
-        SELECT q.vec_id AS qid, d.vec_id AS doc_key,
-               round(list_cosine_similarity(q.embedding::double[], d.embedding::double[]), 12) AS s
-        FROM embeddings q CROSS JOIN embeddings d),
+    WITH questions AS (SELECT label, arg_min(embedding, vec_id) AS asked FROM embeddings GROUP BY label),
+    pairs AS (
+        SELECT questions.label AS qid, vec_id AS doc_key,
+               round(list_cosine_similarity(asked::double[], embedding::double[]), 12) AS s
+        FROM questions CROSS JOIN embeddings),
     ranked AS (
         SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s DESC, doc_key) AS rank FROM pairs)
     SELECT qid, doc_key, round(s, 6) AS similarity, rank::bigint AS rank FROM ranked WHERE rank <= 3
 """)
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vector search: every vector asks for its nearest ones."""
+    """Vector search over all vectors; the first one of each label asks."""
     vectors = _table(spark, sf_dir, "embeddings")
     docs = vectors.select(F.col("vec_id").alias("doc_key"), F.col("embedding").alias("vector"))
-    asked = vectors.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("question_vector"))
+    asked = vectors.groupBy(F.col("label").alias("qid")).agg(
+        F.min_by("embedding", "vec_id").alias("question_vector")
+    )
     found = search.vector_topk(docs, asked, 3)
     return found.withColumn("similarity", F.round("similarity", 6))
 

@@ -70,12 +70,10 @@ def classify(target: DataFrame, source: Staged, keys: Sequence[str]) -> DataFram
     return joined.select(*[incoming[c] for c in incoming.columns], action.alias(ACTION))
 
 
-def upsert(target: DataFrame, changes: Staged, keys: Sequence[str]) -> DataFrame:
-    """The target with every changed row in place of its old version."""
-    new = changes.df.drop(ACTION)
+def kept_rows(target: DataFrame, changes: Staged, keys: Sequence[str]) -> DataFrame:
+    """The rows of the target that no change replaces."""
     replaced = changes.side(changes.df.where(F.col(ACTION) == "update").select(*keys))
-    kept = target.join(replaced, same_key(target, replaced, keys), "left_anti")
-    return kept.unionByName(new)
+    return target.join(replaced, same_key(target, replaced, keys), "left_anti")
 
 
 def stage_changes(target: DataFrame, source: Staged, keys: Sequence[str]) -> tuple[Staged, MergeResult]:
@@ -111,7 +109,7 @@ def merge_plan(
     sides carry ``row_hash``."""
     staged = stage_source(source, keys, dedupe_by)
     changes, result = stage_changes(target, staged, keys)
-    return upsert(target, changes, keys), result
+    return kept_rows(target, changes, keys).unionByName(changes.df.drop(ACTION)), result
 
 
 def apply_merge(
@@ -129,8 +127,9 @@ def apply_merge(
     if not changes.rows:
         return result
     dirty = _buckets(changes.df, tables.bucket_count(spark, path))
-    merged = upsert(tables.read_current(spark, path, dirty), changes, keys)
-    tables.replace_buckets(merged, path, ROW_KEY)
+    kept = kept_rows(tables.read_current(spark, path, dirty), changes, keys)
+    # Few changes are broadcast, so the kept rows still lie by bucket as read.
+    tables.replace_buckets(kept, changes.df.drop(ACTION), path, ROW_KEY, in_place=changes.small)
     return MergeResult(result.inserted, result.updated, result.unchanged, len(dirty))
 
 

@@ -57,6 +57,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has staged, once its results are written."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def stage(df: DataFrame, label: str, metrics: dict[str, Column] | None = None) -> Staged:
     """Write ``df`` to scratch storage and return it with its measured size.
 

@@ -42,18 +42,25 @@ def create_or_replace(spark: SparkSession, path: str, schema: T.StructType, buck
 
 
 def overwrite(df: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS) -> int:
-    """Make ``df`` the whole content of the table; return its row count."""
-    spark = df.sparkSession
-    target = _next_snapshot(spark, path, "base", buckets)
-    return _write_buckets(df.withColumn(BUCKET, bucket_of(key, buckets)), target)
-
-
-def replace_buckets(df: DataFrame, path: str, key: str) -> int:
-    """Replace the buckets that occur in ``df`` by its rows; return its row count."""
-    spark = df.sparkSession
+    """Make ``df`` the whole content of the table; return its row count. Choose
+    the number of buckets so that one is a few gigabytes."""
+    target = _next_snapshot(df.sparkSession, path, "base", buckets)
+    return _write_buckets(_gathered(df, key, buckets), target)
+
+
+def replace_buckets(
+    kept: DataFrame, new: DataFrame, path: str, key: str, in_place: bool = False
+) -> int:
+    """Replace the buckets that occur in the rows by the rows; return how many
+    there are. ``in_place`` says that the kept rows come in the order in which
+    the table stores them, and need no shuffle to be gathered by bucket."""
+    spark = kept.sparkSession
     buckets = bucket_count(spark, path)
     target = _next_snapshot(spark, path, "delta", buckets)
-    return _write_buckets(df.withColumn(BUCKET, bucket_of(key, buckets)), target)
+    if in_place:
+        bucketed = kept.withColumn(BUCKET, bucket_of(key, buckets))
+        return _write_buckets(bucketed.unionByName(_gathered(new, key, buckets)), target)
+    return _write_buckets(_gathered(kept.unionByName(new), key, buckets), target)
 
 
 def read_current(spark: SparkSession, path: str, only: Iterable[int] | None = None) -> DataFrame:
@@ -80,17 +87,17 @@ def bucket_of(key: str, buckets: int):
     return F.pmod(F.col(key), F.lit(buckets)).cast("int")
 
 
+def _gathered(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """The rows of a bucket in as few tasks as their size allows: a rebalance
+    splits what is too large for one task."""
+    return df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", F.col(BUCKET))
+
+
 def _write_buckets(df: DataFrame, target: str) -> int:
-    """Write by bucket and count the rows in the same pass. The rebalance hint
-    gathers each bucket in few files, and splits those that are too large for
-    one task."""
+    """Write by bucket; count the rows in the same pass."""
     seen = Observation()
-    (
-        df.hint("rebalance", F.col(BUCKET))
-        .observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.partitionBy(BUCKET)
-        .parquet(target)
-    )
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.partitionBy(BUCKET).parquet(target)
     return seen.get["rows"]
 
 
