@@ -50,7 +50,8 @@ def classify(target: DataFrame, source: Staged, keys: Sequence[str]) -> DataFram
     """The incoming rows with an ``action``: insert, update or unchanged.
 
     Of the target only the key and the hash are read. A small batch is
-    broadcast to the target, which then needs no shuffle.
+    broadcast to the target, which then needs no shuffle; what it finds there is
+    no more than one row per incoming row, and is broadcast back.
     """
     incoming = source.df
     known = target.select(*keys, F.col(ROW_HASH).alias("_known_hash"))
@@ -60,7 +61,7 @@ def classify(target: DataFrame, source: Staged, keys: Sequence[str]) -> DataFram
         for key in keys:
             on = on & F.col(key).eqNullSafe(F.col(f"_{key}"))
         known = known.join(F.broadcast(wanted), on, "left_semi")
-    found = known.withColumn("_found", F.lit(True))
+    found = source.side(known.withColumn("_found", F.lit(True)))
     joined = incoming.join(found, same_key(incoming, found, keys), "left")
     action = (
         F.when(F.col("_found").isNull(), "insert")

@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 << 20
 BROADCAST_ROWS = 2_000_000
 
+_WIDTH = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4}
+
 
 @dataclass(frozen=True)
 class Staged:
@@ -99,7 +101,7 @@ def _field_bytes(field: T.StructField) -> Column:
     if isinstance(kind, (T.StringType, T.BinaryType)):
         size = F.octet_length(value)
     elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
-        size = F.size(value) * 8
+        size = F.size(value) * _WIDTH.get(type(kind.elementType), 8)
     elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
         size = F.octet_length(F.to_json(F.struct(value)))
     else:
