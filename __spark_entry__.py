@@ -18,13 +18,21 @@ from factloom.functions.vectors import check_dim, to_json_text, to_vector  # noq
 from factloom.operators import answers, filters, search  # noqa: E402
 from factloom.operators.embed import HashingEmbedder, embed, embed_distinct  # noqa: E402
 from factloom.operators.enrich import enrich, group_max  # noqa: E402
-from factloom.operators.merge import MergeResult, apply_merge, duplicate_keys, merge_plan  # noqa: E402
+from factloom.operators.merge import (  # noqa: E402
+    MergeResult,
+    apply_merge,
+    classify,
+    duplicate_keys,
+    merge_plan,
+    stage_source,
+)
 from factloom.operators.prompts import GREETING, HYBRID, VECTOR_ONLY  # noqa: E402
 from factloom.plans import answering, loads  # noqa: E402
 from factloom.schemas import CSV_FORMAT, ROW_HASH, ROW_KEY, VECTOR_DIM  # noqa: E402
 from factloom.sources import tables  # noqa: E402
 from factloom.sources.landing import read_landing  # noqa: E402
 from factloom.sources.staging import scratch_path  # noqa: E402
+from factloom.streaming.landing import merge_new_files  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -209,6 +217,48 @@ def merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counts(spark, merged)
 
 
+@_register(_MERGE_SQL + "SELECT o_orderkey, action FROM matched WHERE action <> 'keep'")
+def merge_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a merge does with every incoming row."""
+    orders = _table(spark, sf_dir, "orders")
+    target = with_keys(_merge_target(orders), ["o_orderkey"])
+    batch = stage_source(with_keys(_merge_batch(orders), ["o_orderkey"]), ["o_orderkey"])
+    return classify(target, batch, ["o_orderkey"]).select("o_orderkey", "action")
+
+
+@_register(_MERGE_SQL + "SELECT o_orderkey, o_orderstatus, o_totalprice FROM matched")
+def streamed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge, fed by landing files as they arrive."""
+    orders = _table(spark, sf_dir, "orders")
+    spec = loads.LoadSpec(
+        schema=orders.schema, keys=("o_orderkey",), group="o_custkey", value="o_orderdate",
+        group_max="last_order", buckets=8,
+    )
+    table, landing, state = (scratch_path(spark, label) for label in ("table", "landing", "state"))
+    loads.initial_load(_merge_target(orders), table, spec)
+    _merge_batch(orders).write.options(**CSV_FORMAT).csv(landing)
+    merge_new_files(spark, landing, table, state, spec).awaitTermination()
+    return tables.read_current(spark, table).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+@_register("""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
+           CASE WHEN l_returnflag = 'R' AND l_shipdate >= TIMESTAMP '1999-01-01' THEN 0.0 ELSE l_quantity END AS l_quantity
+    FROM lineitem
+""")
+def composite_key_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge on five key columns: lines shipped since 1999 arrive again, the
+    returned ones without a quantity, together with lines the table lacks."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    lines = _table(spark, sf_dir, "lineitem")
+    recent = F.col("l_shipdate") >= F.lit("1999-01-01").cast("timestamp")
+    quantity = F.when(F.col("l_returnflag") == "R", 0.0).otherwise(F.col("l_quantity"))
+    path = scratch_path(spark, "table")
+    tables.overwrite(with_keys(lines.where(~recent | (F.col("l_linestatus") == "O")), keys), path, ROW_KEY, 8)
+    apply_merge(spark, path, with_keys(lines.where(recent).withColumn("l_quantity", quantity), keys), keys)
+    return tables.read_current(spark, path).select(*keys, "l_quantity")
+
+
 @_register("""
     SELECT 'first' AS run, count(*) FILTER (c_acctbal >= 0) AS inserted, 0::bigint AS updated,
            count(*) FILTER (c_acctbal < 0) AS unchanged
@@ -399,6 +449,27 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
+@_register(f"""
+    WITH docs AS (SELECT min(doc_id) AS doc_key, text AS document FROM documents GROUP BY text),
+    questions AS (SELECT lang AS qid, arg_min(text, doc_id) AS question FROM documents GROUP BY lang),
+    {_word_counts_sql("doc", "doc_key", "docs", "document")},
+    {_word_counts_sql("question", "qid", "questions", "question")},
+    {_SIMILARITY_SQL},
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY qid ORDER BY similarity DESC, doc_key) AS rank FROM scored)
+    SELECT qid, doc_key, round(similarity, 6) AS similarity, rank FROM ranked WHERE rank <= 5
+""")
+def distinct_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search over whole texts, each text found once; the first text of each
+    language asks."""
+    documents = _table(spark, sf_dir, "documents")
+    texts = documents.select(F.col("doc_id").alias("doc_key"), F.col("text").alias("document"))
+    asked = documents.groupBy(F.col("lang").alias("qid")).agg(F.min_by("text", "doc_id").alias("question"))
+    asked = embed(asked, "question", "question_vector")
+    docs = embed(search.one_per_document(texts), "document", "vector")
+    return search.vector_topk(docs, asked, 5).withColumn("similarity", F.round("similarity", 6))
+
+
 _ONE_QUESTION = "Which customer from NATION_7 trades in machinery and holds 100.00 dollars?"
 
 
