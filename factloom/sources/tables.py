@@ -75,6 +75,17 @@ def read_current(spark: SparkSession, path: str, only: Iterable[int] | None = No
     return rows.drop("snapshot", BUCKET)
 
 
+def drop_superseded(spark: SparkSession, path: str) -> int:
+    """Delete the snapshots before the last complete base, once nobody reads
+    them any more; return how many there were."""
+    base, _ = _live_buckets(spark, path)
+    old = [s for s in glob(spark, f"{path}/snapshot=*") if s < base]
+    for snapshot in old:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(snapshot)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(old)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     return bool(_complete_snapshots(spark, path))
 

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from factloom.functions.hashing import with_keys
-from factloom.operators import merge
 from factloom.operators.enrich import enrich, group_max
 from factloom.operators.merge import DuplicateKeys, apply_merge, classify, merge_plan, stage_source
 from factloom.plans.loads import LoadSpec, delta_load, initial_load
@@ -143,6 +142,16 @@ def test_unfinished_snapshot_is_ignored(spark, table):
     assert content(spark, table) == [("a", "1", 1), ("b", "1", 1)]
 
 
+def test_superseded_snapshots_are_dropped(spark, table):
+    initial_load(frame(spark, ("a", "1", "x", 1)), table, SPEC)
+    delta_load(frame(spark, ("b", "1", "x", 2)), table, SPEC)
+    assert tables.drop_superseded(spark, table) == 0
+    tables.overwrite(tables.read_current(spark, table), table, ROW_KEY, 4)
+    delta_load(frame(spark, ("c", "1", "x", 3)), table, SPEC)
+    assert tables.drop_superseded(spark, table) == 2
+    assert content(spark, table) == [("a", "1", 1), ("b", "1", 2), ("c", "1", 3)]
+
+
 def test_create_or_replace_gives_an_empty_table(spark, table):
     assert not tables.exists(spark, table)
     with pytest.raises(FileNotFoundError):
@@ -169,4 +178,3 @@ def test_stage_measures(spark):
     staged = staging.stage(frame(spark, ("a", "1", "x", 1), ("bb", "1", None, 2)), "t", {"most": F.max("goals")})
     assert (staged.rows, staged.metrics) == (2, {"most": 2}) and staged.bytes >= 6
     assert staging.stage(frame(spark).limit(0), "t").rows == 0
-    assert merge.ACTION == "action"
