@@ -34,6 +34,15 @@ from factloom.sources.landing import read_landing  # noqa: E402
 from factloom.sources.staging import scratch_path  # noqa: E402
 from factloom.streaming.landing import merge_new_files  # noqa: E402
 
+# The operators for training data are a part that may be absent; nothing else needs it.
+try:
+    import corpus_pipeline
+    from factloom.llm import queries as llm_queries
+except ModuleNotFoundError as absent:
+    if absent.name not in ("corpus_pipeline", "factloom.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -43,11 +52,19 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: query for name, (query, _) in _REGISTRY.items()}
+    found = {name: query for name, (query, _) in _REGISTRY.items()}
+    if llm_queries is not None:
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _REGISTRY.items() if sql is not None}
+    found = {name: sql for name, (_, sql) in _REGISTRY.items() if sql is not None}
+    if llm_queries is not None:
+        found |= llm_queries.SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
