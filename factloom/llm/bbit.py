@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.components import components
-from factloom.llm.texts import column, column_bytes, keyed, mix, shingles
+from factloom.llm.texts import column, column_bytes, keyed, mix, shingles, small_batches
 from factloom.sources.staging import Staged, stage
 
 HASHES, ROWS, BITS = 128, 4, 4
@@ -53,34 +53,30 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(text.lower().split(), size) if text else np.zeros(0, np.uint64)
-                    for text in column_bytes(batch, "text")]
-            for start, end in _chunks(sets):
-                part = sets[start:end]
-                fps = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in part]
-                packed, bands = _sign([s for s in part if len(s)])
-                full = iter(range(len(packed)))
-                at = [next(full) if len(s) else None for s in part]
-                yield pa.RecordBatch.from_arrays([
-                    column(batch, "doc_id").slice(start, end - start), column(batch, "k").slice(start, end - start),
-                    pa.array([len(s) for s in part], pa.int64()), pa.array(fps, pa.binary()),
-                    pa.array([None if i is None else packed[i] for i in at], pa.list_(pa.int64())),
-                    pa.array([None if i is None else bands[i] for i in at], pa.list_(pa.int64())),
-                ], names=["doc_id", "k", "n_shingles", "fp", "sig", "bands"])
+            ids, keys = column(batch, "doc_id"), column(batch, "k")
+            start, held, total = 0, [], 0
+            for text in column_bytes(batch, "text"):
+                held.append(shingles(text.lower().split(), size) if text else np.zeros(0, np.uint64))
+                total += len(held[-1])
+                if total >= CHUNK:
+                    yield _signed(ids.slice(start, len(held)), keys.slice(start, len(held)), held)
+                    start, held, total = start + len(held), [], 0
+            if held:
+                yield _signed(ids.slice(start), keys.slice(start), held)
 
     return keyed(docs).mapInArrow(
         run, "doc_id long, k long, n_shingles long, fp binary, sig array<long>, bands array<long>")
 
 
-def _chunks(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-    start = total = 0
-    for at, s in enumerate(sets):
-        total += len(s)
-        if total >= CHUNK:
-            yield start, at + 1
-            start, total = at + 1, 0
-    if start < len(sets):
-        yield start, len(sets)
+def _signed(ids: pa.Array, keys: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+    packed, bands = _sign([s for s in sets if len(s)])
+    full = iter(zip(packed, bands))
+    rows = [next(full) if len(s) else (None, None) for s in sets]
+    return pa.RecordBatch.from_arrays([
+        ids, keys, pa.array([len(s) for s in sets], pa.int64()),
+        pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+        pa.array([row[0] for row in rows], pa.list_(pa.int64())), pa.array([row[1] for row in rows], pa.list_(pa.int64())),
+    ], names=["doc_id", "k", "n_shingles", "fp", "sig", "bands"])
 
 
 def _sign(sets: list[np.ndarray]) -> tuple[list, list]:
@@ -132,7 +128,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     ``n_links`` counts the confirmed links of the row's vertex, of those that had to be
     compared. Sets are linked if 100 * intersection >= percent * union.
     """
-    signed = stage(signatures(docs, size), "signatures").df
+    with small_batches(docs.sparkSession):
+        signed = stage(signatures(docs, size), "signatures").df
     full = signed.where("fp IS NOT NULL")
     nodes = full.groupBy("fp").agg(
         F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "k")).alias("place"),
@@ -241,7 +238,7 @@ def _confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, per
     joined = pairs.df.join(one, "v").join(other, "w").select("v", "w", "text", "text_w")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(64)
+        @lru_cache(16)
         def known(_: int, text: bytes) -> np.ndarray:
             return shingles(text.lower().split(), size)
 
@@ -257,4 +254,5 @@ def _confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, per
                 a, b = zip(*found)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return stage(joined.mapInArrow(run, "a long, b long").distinct(), "links")
+    with small_batches(docs.sparkSession):
+        return stage(joined.mapInArrow(run, "a long, b long").distinct(), "links")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.texts import column, record_batches
+from factloom.llm.texts import column, record_batches, small_batches
 from factloom.llm.tokens import encoder, little_endian
 from factloom.sources.staging import stage
 
@@ -66,7 +66,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
 
 def pack(parts: DataFrame, capacity: int = 1024, block: int = BLOCK_PIECES) -> DataFrame:
     """``parts`` (with a ``length`` column) plus sequence_id and offset."""
-    numbered = stage(parts.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    with small_batches(parts.sparkSession):
+        numbered = stage(parts.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     left, rows, done, level = numbered.df, numbered.rows, None, 0
     while True:
         blocks = max(1, -(-rows // block))

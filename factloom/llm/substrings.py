@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.texts import Spans, column, column_bytes, keyed, mix, text_key, word_hashes
+from factloom.llm.texts import Spans, column, column_bytes, keyed, mix, small_batches, text_key, word_hashes
 from factloom.sources.staging import Staged, stage
 
 SECOND = np.uint64(0xD6E8FEB86659FD93)
@@ -87,7 +87,8 @@ def _joined(held: list[tuple]) -> pa.RecordBatch:
 
 def repeats(docs: DataFrame, length: int = 50) -> Staged:
     """(doc, k, starts, ends): per text, the word ranges that repeat a smaller document."""
-    level = stage(_first_level(docs, length), "stretches").df
+    with small_batches(docs.sparkSession):
+        level = stage(_first_level(docs, length), "stretches").df
     # Level one: halves that occur in several documents.
     halves = level.groupBy("half").agg(
         F.min("doc").alias("_lo"), F.max("doc").alias("_hi"), (F.min("whole") < F.max("whole")).alias("several"))
@@ -102,7 +103,8 @@ def repeats(docs: DataFrame, length: int = 50) -> Staged:
     # Where stretches differ around one half, their single windows.
     places = wholes.df.where("several").groupBy("doc", "k").agg(F.collect_list(F.struct("first", "n")).alias("_places"))
     places = stage(places.select("doc", "k", F.col("_places.first").alias("firsts"), F.col("_places.n").alias("counts")), "places")
-    single = stage(_windows(docs, places, length), "windows").df
+    with small_batches(docs.sparkSession):
+        single = stage(_windows(docs, places, length), "windows").df
     owners = single.groupBy("w1", "w2").agg(F.min("doc").alias("least"), F.max("doc").alias("_hi")).where("least < _hi")
     owners = stage(owners.drop("_hi"), "window-owners")
     again = single.join(owners.side(), ["w1", "w2"]).where("least < doc").select(

@@ -7,18 +7,20 @@ of ASCII (0x20 and 0x09 to 0x0D), which is also what ``bytes.split`` takes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Odd, and 3 modulo 8, so that differences of its powers lose few low bits.
 BASE = 0x9E3779B97F4A7C1B
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
+BATCH_BYTES = "8m"
 
 
 def text_key(text: Column | str = "text") -> Column:
@@ -106,9 +108,23 @@ def shingles(words: list[bytes], size: int) -> np.ndarray:
     return np.unique(Spans(word_hashes(words)).windows(min(size, len(words))))
 
 
-def column_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
+def column_bytes(batch: pa.RecordBatch, name: str) -> Iterator[bytes | None]:
+    """The texts of a batch, one at a time."""
     column = batch.column(batch.schema.get_field_index(name))
-    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
+    column = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+    return (value.as_py() for value in column)
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Inside, jobs hand long texts to Python in batches of few bytes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.texts import column
+from factloom.llm.texts import column, small_batches
 from factloom.llm.tokens import encoder
 from factloom.sources.staging import stage
 
@@ -55,7 +55,8 @@ def limits(counts: DataFrame) -> DataFrame:
     """
     rows = counts.select("grp", "length", "n_docs", (F.col("length") * F.col("n_docs")).alias("_tokens"),
                          F.floor(F.col("length") / BUCKET).alias("_bucket"))
-    rows = stage(rows, "length-histogram").df
+    with small_batches(counts.sparkSession):
+        rows = stage(rows, "length-histogram").df
     sums = [F.sum("n_docs").alias("_docs_here"), F.sum("_tokens").alias("_tokens_here")]
     after = Window.partitionBy("grp").orderBy("_bucket").rowsBetween(1, Window.unboundedFollowing)
     whole = Window.partitionBy("grp")
