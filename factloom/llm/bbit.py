@@ -8,12 +8,14 @@ the similarity estimated from them is corrected for agreements by chance. Pairs
 estimated far below the threshold are dropped; all others are confirmed on the
 full sets of both texts.
 
-Pairs are never formed for all members of a band. First every vertex is compared
-with the best of its bands' leaders, the members that share most bands. Bands whose
-members then still lie in several classes go through rounds with eight times as
-many leaders each, until every pair of members has been compared or lies in one
-class already. So the classes are those of all candidate links, and a large group
-of copies costs one comparison per copy.
+Pairs are never formed for all members of a band. Every vertex is compared with the
+best of its bands' leaders, the members that share most bands, so a large group of
+copies costs one comparison per copy. Members of bands that then still lie in
+several classes, such as texts around one common passage, are compared by an exact
+filter instead: of each set, ordered by how often its shingles occur there, only the
+rarest few can be the first that is shared with a similar set, and only sets that
+share one of these, early enough, become pairs. The order needs counts in a sketch
+of fixed size; the result is the same for any order.
 
 Defined cases: a NULL or empty text has an empty set and is linked with nothing. A
 text with fewer words than a shingle is one shingle as a whole. Rows with equal
@@ -43,6 +45,8 @@ WORDS = HASHES // PER_WORD
 # Standard errors below the threshold at which a candidate is still compared in full.
 SPARE = 5
 CHUNK = 1 << 18
+# Places in which shingles are counted for their order.
+SKETCH = 1 << 20
 _random = np.random.default_rng(20240607)
 MULTIPLIERS = _random.integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _random.integers(0, 1 << 63, HASHES, np.uint64)
@@ -162,17 +166,17 @@ def _classes(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> tupl
     pairs = scored.groupBy("v").agg(F.max_by("w", F.struct("estimate", -F.col("w"))).alias("w"))
 
     empty = docs.sparkSession.createDataFrame([], "v long, c long")
-    classes, all_links, reach = stage(empty, "classes"), None, 0
-    while True:
-        confirmed = _confirm(docs, nodes, pairs, size, percent)
-        all_links = confirmed.df if all_links is None else all_links.union(confirmed.df)
-        if confirmed.rows:
-            classes = _merge(classes, confirmed)
-        open_members = _open(members, classes)
-        if not open_members.rows or reach >= open_members.metrics["m"]:
-            break
-        start, reach = reach, 8 * max(reach, 1)
-        pairs = _next_pairs(open_members.df, start, reach, nodes, percent)
+    classes = stage(empty, "classes")
+    confirmed = _confirm(docs, nodes, pairs, size, percent)
+    if confirmed.rows:
+        classes = _merge(classes, confirmed)
+    all_links = confirmed.df
+    open_vertices = _open(members, classes)
+    if open_vertices.rows:
+        rest = _confirm(docs, nodes, _rest(docs, nodes, open_vertices, size, percent), size, percent)
+        if rest.rows:
+            classes = _merge(classes, rest)
+        all_links = all_links.union(rest.df)
     links = all_links.select("a").union(all_links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("v")).agg(
         F.count(F.lit(1)).alias("n_links"))
     return classes, links
@@ -191,24 +195,67 @@ def _merge(classes: Staged, confirmed: Staged) -> Staged:
 
 
 def _open(members: DataFrame, classes: Staged) -> Staged:
-    """Members of bands that still lie in several classes."""
-    placed = members.join(classes.side(), "v", "left").withColumn("c", F.coalesce("c", "v"))
+    """(v, c) of the members of bands that still lie in several classes."""
+    placed = members.join(classes.side(), "v", "left").select("band", "v", F.coalesce("c", "v").alias("c"))
     several = placed.groupBy("band").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi")).where("_lo < _hi").select("band")
     several = stage(several, "open-bands")
-    return stage(placed.join(several.side(), "band"), "open", metrics={"m": F.coalesce(F.max("m"), F.lit(0))})
+    return stage(placed.join(several.side(), "band", "left_semi").select("v", "c").distinct(), "open")
 
 
-def _next_pairs(open_members: DataFrame, start: int, reach: int, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of the leaders of one round with the members that come after them.
+def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(v, text) of some vertices."""
+    places = stage(nodes.select("v", F.col("doc_id").alias("_doc"), F.col("k").alias("_k")).join(wanted, "v", "left_semi"), "places")
+    found = keyed(docs).alias("d").join(places.side(), F.expr("d.doc_id <=> _doc AND d.k = _k"))
+    return found.select("v", "text")
 
-    A member's place in its band is a hash; those below reach/m, but not below
-    start/m, lead in this round.
+
+def _rest(docs: DataFrame, nodes: DataFrame, open_vertices: Staged, size: int, percent: int) -> DataFrame:
+    """Pairs (v, w) of different classes, among them all that are similar enough.
+
+    With sets ordered alike, sets with an overlap of at least o share a shingle among
+    the first n - o + 1 of each. For the larger set of a pair o is at least percent of
+    its own size; for the smaller one, percent of the mean size and more.
     """
-    place = F.pmod(F.xxhash64("band", "v"), F.lit(1 << 32)) / float(1 << 32)
-    placed = open_members.withColumn("u", place)
-    lead = placed.where((F.col("u") * F.col("m") >= start) & (F.col("u") * F.col("m") < reach)).select(
-        "band", F.col("v").alias("w"), F.col("c").alias("cw"), F.col("u").alias("uw"))
-    pairs = placed.join(lead, "band").where("c <> cw AND (uw < u OR uw = u AND w < v)")
+    spark = docs.sparkSession
+    texts = _texts(docs, nodes, open_vertices.df.select("v")).join(open_vertices.side(), "v")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(SKETCH, np.int64)
+        for batch in batches:
+            for text in column_bytes(batch, "text"):
+                seen += np.bincount(shingles(text.lower().split(), size) % np.uint64(SKETCH), minlength=SKETCH)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["place", "n"])
+
+    with small_batches(spark):
+        got = stage(texts.select("text").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")), "sketch")
+    got = got.df.toArrow()  # at most SKETCH rows, whatever the table's size
+    often = np.zeros(SKETCH, np.int64)
+    often[got.column("place").to_numpy()] = got.column("n").to_numpy()
+    sent = spark.sparkContext.broadcast(often)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for v, c, text in zip(column(batch, "v").to_pylist(), column(batch, "c").to_pylist(), column_bytes(batch, "text")):
+                own = shingles(text.lower().split(), size)
+                n = len(own)
+                order = np.lexsort((own, sent.value[own % np.uint64(SKETCH)]))[: n - -(-percent * n // 100) + 1]
+                # A place that counts one is no other set's.
+                at = np.flatnonzero(sent.value[own[order] % np.uint64(SKETCH)] > 1)
+                short = at < n - -(-2 * percent * n // (100 + percent)) + 1
+                fill = lambda x: pa.array(np.full(len(at), x, np.int64))  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays(
+                    [fill(v), fill(c), fill(n), pa.array(own[order[at]].view(np.int64)), pa.array(at), pa.array(short)],
+                    names=["v", "c", "n", "shingle", "at", "short"])
+
+    with small_batches(spark):
+        early = stage(texts.mapInArrow(first, "v long, c long, n long, shingle long, at long, short boolean"), "rare-shingles").df
+    several = early.groupBy("shingle").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi"), F.max("short").alias("_s"))
+    several = stage(several.where("_lo < _hi AND _s").select("shingle"), "rare-shared")
+    early = early.join(several.side(), "shingle")
+    smaller = early.where("short").select("shingle", F.col("v").alias("w"), F.col("c").alias("cw"), F.col("n").alias("nw"), F.col("at").alias("atw"))
+    pairs = early.join(smaller, "shingle").where(
+        f"c <> cw AND nw <= n AND 100 * nw >= {percent} * n AND (100 + {percent}) * least(n - at, nw - atw) >= {percent} * (n + nw)")
     pairs = pairs.select(F.greatest("v", "w").alias("v"), F.least("v", "w").alias("w")).distinct()
     return _estimated(pairs, nodes, percent).select("v", "w")
 
@@ -228,12 +275,7 @@ def _confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, per
     if not pairs.rows:
         return stage(pairs.df.select(F.col("v").alias("a"), F.col("w").alias("b")), "links")
     ends = pairs.df.select("v").union(pairs.df.select("w")).distinct()
-    places = stage(nodes.select("v", "doc_id", "k").join(ends, "v", "left_semi"), "places")
-    texts = keyed(docs).alias("d").join(
-        places.side(places.df.select("v", F.col("doc_id").alias("_doc"), F.col("k").alias("_k"))),
-        F.expr("d.doc_id <=> _doc AND d.k = _k"))
-    # Rows that are equal in doc_id and text give the same text twice; one is enough.
-    one = texts.select("v", "text")
+    one = _texts(docs, nodes, ends)
     other = one.select(F.col("v").alias("w"), F.col("text").alias("text_w"))
     joined = pairs.df.join(one, "v").join(other, "w").select("v", "w", "text", "text_w")
 
