@@ -95,13 +95,12 @@ def repeats(docs: DataFrame, length: int = 50) -> Staged:
     halves = stage(halves.where("_lo < _hi").select("half", "several"), "halves")
     level = stage(level.join(halves.side(), "half"), "survivors").df
     # Level two: whole stretches.
-    wholes = level.groupBy("half", "whole").agg(
-        F.min("doc").alias("least"), F.min(F.struct("doc", "k", "first", "n")).alias("place"), F.max("several").alias("several"))
-    wholes = stage(wholes.select("half", "whole", "least", "several", "place.doc", "place.k", "place.first", "place.n"), "wholes")
-    covered = level.join(wholes.side(wholes.df.select("half", "whole", "least")), ["half", "whole"]).where("least < doc").select(
+    wholes = stage(level.groupBy("half", "whole").agg(F.min("doc").alias("least")), "wholes")
+    judged = level.join(wholes.side(), ["half", "whole"])
+    covered = judged.where("least < doc").select(
         "doc", "k", F.col("first").alias("start"), (F.col("first") + F.col("n") - 1 + length).alias("end"))
-    # Where stretches differ around one half, their single windows.
-    places = wholes.df.where("several").groupBy("doc", "k").agg(F.collect_list(F.struct("first", "n")).alias("_places"))
+    # Where stretches differ around one half, their single windows, in the smallest document that has the stretch.
+    places = judged.where("several AND least = doc").groupBy("doc", "k").agg(F.collect_list(F.struct("first", "n")).alias("_places"))
     places = stage(places.select("doc", "k", F.col("_places.first").alias("firsts"), F.col("_places.n").alias("counts")), "places")
     with small_batches(docs.sparkSession):
         single = stage(_windows(docs, places, length), "windows").df
