@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                            ("length", pa.int64()), ("ids_crc32", pa.int64())])
 BLOCK_PIECES = 16_384
+SOURCES, STEPS = 16, 64
 
 
 def cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:
@@ -151,19 +153,28 @@ class Bins:
             self.rooms |= 1 << room
 
     def empty_the_least(self) -> None:
-        """Empties underfull bins, least filled first, while the total could fit in fewer."""
-        total, kept = sum(self.lengths), set()
+        """Empties underfull bins, least filled first, while the total could fit in fewer.
+
+        Where the least filled is stuck, exchanges between others come first; those with
+        most room, ``SOURCES`` of them, are tried, ``STEPS`` times in all.
+        """
+        total, kept, steps = sum(self.lengths), set(), STEPS
         count = len(self.items)
         while count > -(-total // self.capacity):
-            least = next((b for r in range(self.capacity, 0, -1) for b in sorted(self.with_room[r]) if b not in kept), None)
-            if least is None:
+            open_bins = (b for r in range(self.capacity, 0, -1) for b in sorted(self.with_room[r]) if b not in kept)
+            sources = list(islice(open_bins, SOURCES))
+            if not sources:
                 return
+            least = sources[0]
             while self.items[least] and self.improve(least):
                 pass
-            if self.items[least]:
-                kept.add(least)
-            else:
+            if not self.items[least]:
                 count -= 1
+            elif steps and any(self.improve(b) for b in sources[1:]):
+                steps -= 1
+                count = sum(map(bool, self.items))
+            else:
+                kept.add(least)
 
     def improve(self, least: int) -> bool:
         """One move or exchange that takes tokens out of ``least`` into a bin that is at
