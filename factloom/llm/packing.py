@@ -33,7 +33,9 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                            ("length", pa.int64()), ("ids_crc32", pa.int64())])
 BLOCK_PIECES = 16_384
-SOURCES, STEPS = 16, 64
+# Effort of the search in one block: bins tried as sources, exchanges between others, bins tried as targets,
+# and least filled bins given up.
+SOURCES, STEPS, TARGETS, GIVEN_UP = 8, 16, 64, 32
 
 
 def cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:
@@ -125,12 +127,12 @@ class Bins:
         self.lengths, self.capacity = lengths, capacity
         self.items: list[list[int]] = []
         self.fill: list[int] = []
-        self.with_room: list[set[int]] = [set() for _ in range(capacity + 1)]
+        self.with_room: list[dict[int, None]] = [{} for _ in range(capacity + 1)]  # in order of arrival
         self.rooms = 0  # bit r is set if some bin has room r
         for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
             fits = self.rooms >> lengths[i]
             if lengths[i] < capacity and fits:
-                at = min(self.with_room[lengths[i] + (fits & -fits).bit_length() - 1])
+                at = next(iter(self.with_room[lengths[i] + (fits & -fits).bit_length() - 1]))
             else:
                 at = len(self.items)
                 self.items.append([])
@@ -140,7 +142,7 @@ class Bins:
     def change(self, at: int, out: list[int], into: list[int]) -> None:
         """Takes pieces out of a bin and puts others in."""
         before = self.capacity - self.fill[at]
-        self.with_room[before].discard(at)
+        self.with_room[before].pop(at, None)
         if not self.with_room[before]:
             self.rooms &= ~(1 << before)
         for i in out:
@@ -149,21 +151,22 @@ class Bins:
         self.fill[at] += sum(self.lengths[i] for i in into) - sum(self.lengths[i] for i in out)
         room = self.capacity - self.fill[at]
         if self.items[at] and room:
-            self.with_room[room].add(at)
+            self.with_room[room][at] = None
             self.rooms |= 1 << room
 
     def empty_the_least(self) -> None:
         """Empties underfull bins, least filled first, while the total could fit in fewer.
 
         Where the least filled is stuck, exchanges between others come first; those with
-        most room, ``SOURCES`` of them, are tried, ``STEPS`` times in all.
+        most room, ``SOURCES`` of them, are tried, ``STEPS`` times in all. Each looks at the
+        ``TARGETS`` fullest bins, and it ends after ``GIVEN_UP`` bins that stay. These bound the effort of the search, not what is packed.
         """
         total, kept, steps = sum(self.lengths), set(), STEPS
         count = len(self.items)
         while count > -(-total // self.capacity):
-            open_bins = (b for r in range(self.capacity, 0, -1) for b in sorted(self.with_room[r]) if b not in kept)
+            open_bins = (b for r in range(self.capacity, 0, -1) for b in list(self.with_room[r]) if b not in kept)
             sources = list(islice(open_bins, SOURCES))
-            if not sources:
+            if not sources or len(kept) >= GIVEN_UP:
                 return
             least = sources[0]
             while self.items[least] and self.improve(least):
@@ -185,26 +188,22 @@ class Bins:
             fits = self.rooms >> size[i]
             while fits:
                 room = size[i] + (fits & -fits).bit_length() - 1
-                at = min((b for b in self.with_room[room] if b != least and self.fill[b] >= self.fill[least] - size[i]), default=None)
+                at = next((b for b in self.with_room[room] if b != least and self.fill[b] >= self.fill[least] - size[i]), None)
                 if at is not None:
                     self.change(least, [i], [])
                     self.change(at, [], [i])
                     return True
                 fits &= ~(1 << (room - size[i]))
         best = None
-        for room in range(1, self.capacity):
-            if not self.rooms >> room & 1:
-                continue
-            for at in sorted(self.with_room[room]):
-                if at == least or self.fill[at] < self.fill[least]:
-                    continue
-                found = self._exchange(own, self.items[at], room)
-                if found and (best is None or found[0] > best[0]):
-                    best = (*found, at)
-                    if found[0] == room:  # fills it to the brim
-                        break
-            if best and best[0] == room:
-                break
+        targets = (at for room in range(1, self.capacity) if self.rooms >> room & 1 for at in list(self.with_room[room])
+                   if at != least and self.fill[at] >= self.fill[least])
+        for at in islice(targets, TARGETS):
+            room = self.capacity - self.fill[at]
+            found = self._exchange(own, self.items[at], room)
+            if found and (best is None or found[0] > best[0]):
+                best = (*found, at)
+                if found[0] == room:  # fills it to the brim
+                    break
         if best is None:
             return False
         _, mine, theirs, at = best
@@ -226,11 +225,11 @@ class Bins:
         for i in own:
             for j in other:
                 consider([i], [j])
-        pairs = [(a, b) for n, a in enumerate(own) for b in own[n + 1:]] if len(own) <= 64 else []
+        pairs = [(a, b) for n, a in enumerate(own) for b in own[n + 1:]] if len(own) <= 12 else []
         for a, b in pairs:
             for j in other:
                 consider([a, b], [j])
-        if len(other) <= 64:
+        if len(other) <= 12:
             for n, a in enumerate(other):
                 for b in other[n + 1:]:
                     for i in own:
