@@ -32,18 +32,18 @@ def vocabulary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def extract_filters(
-    questions: DataFrame, terms: DataFrame, question: str = "question", max_words: int = 3
+    questions: DataFrame, terms: DataFrame, question: str = "question"
 ) -> DataFrame:
     """Add ``hard_keywords``, the vocabulary terms a question contains, and
     ``semantic_query``, the words that belong to none of them (the whole
     question if nothing is left).
 
-    A term of up to ``max_words`` words matches whole words, whatever their
-    case. Words are cut at white space and freed of punctuation at both ends.
+    A term of any number of words matches whole words, whatever their case. Words are cut at white space and freed of punctuation at both ends.
     """
-    known = stage(terms.select("term", F.lower("term").alias("_gram")).distinct(), "terms")
+    longest = F.max(F.size(words(F.col("term"))))
+    known = stage(terms.select("term", F.lower("term").alias("_gram")).distinct(), "terms", {"longest": longest})
     worded = questions.withColumn("_words", words(F.col(question)))
-    grams = worded.select("qid", F.explode(_grams(F.col("_words"), max_words)).alias("g"))
+    grams = worded.select("qid", F.explode(_grams(F.col("_words"), max(known.metrics["longest"] or 1, 1))).alias("g"))
     hits = grams.select("qid", "g.*").join(known.side(), F.col("gram") == F.col("_gram"))
     found = hits.groupBy("qid").agg(
         F.sort_array(F.collect_set("term")).alias("_terms"),
@@ -95,17 +95,26 @@ def request_filters(
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         client = make_extractor()
         for prompts in batches:
-            yield pd.Series([None if p is None else client.extract(p) for p in prompts], dtype=object)
+            yield pd.Series([_response(client, p) for p in prompts], dtype=object)
 
     prompt = render(EXTRACTION_PROMPT, question=F.col(question))
     return questions.withColumn("response", ask(prompt))
 
 
+def _response(client: Extractor, prompt: str | None) -> str | None:
+    """NULL if the call fails, which ``parse_filters`` marks; the other questions go on."""
+    try:
+        return None if prompt is None else client.extract(prompt)
+    except Exception:  # whatever a remote client may raise
+        return None
+
+
 def parse_filters(df: DataFrame, response: str = "response") -> DataFrame:
     """Add ``hard_keywords``, ``semantic_query`` and a ``status``. Both fields
-    are required; text that is no such JSON object gets ``bad_filters``."""
+    are required and hold no NULL; text that is no such JSON object gets ``bad_filters``."""
     parsed = F.from_json(response, FILTERS)
     columns = [c for c in df.columns if c not in ("hard_keywords", "semantic_query", "status")]
     fields = df.select(*columns, parsed.alias("_parsed")).select(*columns, "_parsed.*")
-    complete = F.col("hard_keywords").isNotNull() & F.col("semantic_query").isNotNull()
+    whole = F.forall("hard_keywords", lambda word: word.isNotNull())
+    complete = F.col("hard_keywords").isNotNull() & F.col("semantic_query").isNotNull() & whole
     return fields.withColumn("status", F.when(complete, OK).otherwise(BAD_FILTERS))

@@ -149,3 +149,27 @@ def test_transcripts(spark):
         (2, "assistant", GREETING), (2, "user", "c"), (2, "assistant", "C"),
     ]
     assert len({(r.conv_id, r.turn) for r in got}) == len(got)
+
+
+def test_terms_of_any_number_of_words(spark):
+    terms = spark.createDataFrame([("United States of America",), ("team",)], "term string")
+    asked = spark.createDataFrame([(1, "Who plays for United States of America?")], "qid long, question string")
+    row = extract_filters(asked, terms).first()
+    assert row.hard_keywords == ["United States of America"] and row.semantic_query == "Who plays for"
+
+
+def test_a_null_keyword_is_a_bad_filter(spark):
+    got = parse_filters(spark.createDataFrame([('{"hard_keywords": ["t", null], "semantic_query": "x"}',)], "response string"))
+    assert got.first().status == "bad_filters"
+
+
+def test_a_failing_request_costs_one_question(spark):
+    class Failing:
+        def extract(self, prompt):
+            if "boom" in prompt:
+                raise RuntimeError("boom")
+            return '{"hard_keywords": [], "semantic_query": "x"}'
+
+    asked = spark.createDataFrame([(1, "fine"), (2, "boom")], "qid long, question string")
+    got = parse_filters(request_filters(asked, Failing)).orderBy("qid").collect()
+    assert [r.status for r in got] == ["ok", "bad_filters"]
