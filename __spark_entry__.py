@@ -31,7 +31,7 @@ from factloom.plans import answering, loads  # noqa: E402
 from factloom.schemas import CSV_FORMAT, ROW_HASH, ROW_KEY, VECTOR_DIM  # noqa: E402
 from factloom.sources import tables  # noqa: E402
 from factloom.sources.landing import read_landing  # noqa: E402
-from factloom.sources.staging import scratch_path  # noqa: E402
+from factloom.sources.staging import scratch_path, stage  # noqa: E402
 from factloom.streaming.landing import merge_new_files  # noqa: E402
 
 # The operators for training data are a part that may be absent; nothing else needs it.
@@ -219,6 +219,37 @@ def delta_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
+@_register("""
+    SELECT count(*) FILTER (o_orderdate >= TIMESTAMP '1998-01-01') AS inserted, 0::bigint AS updated,
+           0::bigint AS unchanged, 0::bigint AS rows_rewritten, count(*) AS rows
+    FROM orders
+""")
+def merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of new rows leaves all others as they lie."""
+    orders = with_keys(_table(spark, sf_dir, "orders"), ["o_orderkey"])
+    path, new = scratch_path(spark, "table"), F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp")
+    tables.overwrite(orders.where(~new), path, ROW_KEY, 8)
+    merged = apply_merge(spark, path, orders.where(new), ["o_orderkey"])
+    rows = tables.read_current(spark, path).agg(F.count(F.lit(1)).alias("rows"))
+    return _counts(spark, merged).withColumn("rows_rewritten", F.lit(merged.rows_rewritten).cast("long")).join(rows)
+
+
+@_register("""
+    SELECT l_orderkey, l_linenumber,
+           max(l_quantity) OVER (PARTITION BY l_orderkey, l_linenumber) AS l_quantity
+    FROM lineitem
+""")
+def merge_repeated_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge into a table that holds keys several times: none of their rows is lost."""
+    keys = ["l_orderkey", "l_linenumber"]
+    lines = _table(spark, sf_dir, "lineitem").select(*keys, "l_quantity")
+    path = scratch_path(spark, "table")
+    tables.overwrite(with_keys(lines, keys), path, ROW_KEY, 8)
+    largest = lines.groupBy(*keys).agg(F.max("l_quantity").alias("l_quantity"))
+    apply_merge(spark, path, with_keys(largest, keys), keys)
+    return tables.read_current(spark, path).select(*keys, "l_quantity")
+
+
 @_register(_MERGE_SQL + """
     SELECT count(*) FILTER (action = 'insert') AS inserted,
            count(*) FILTER (action = 'update') AS updated,
@@ -446,29 +477,26 @@ def vector_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_register("""
-    WITH questions AS (SELECT label, arg_min(embedding, vec_id) AS asked FROM embeddings GROUP BY label),
-    pairs AS (
-        SELECT questions.label AS qid, vec_id AS doc_key,
-               round(list_cosine_similarity(asked::double[], embedding::double[]), 12) AS s
-        FROM questions CROSS JOIN embeddings),
+    WITH pairs AS (
+        SELECT q.vec_id AS qid, d.vec_id AS doc_key,
+               round(list_cosine_similarity(q.embedding::double[], d.embedding::double[]), 12) AS s
+        FROM embeddings q CROSS JOIN embeddings d),
     ranked AS (
         SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s DESC, doc_key) AS rank FROM pairs)
     SELECT qid, doc_key, round(s, 6) AS similarity, rank::bigint AS rank FROM ranked WHERE rank <= 3
 """)
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vector search over all vectors; the first one of each label asks."""
+    """Vector search over all vectors, for each of them."""
     vectors = _table(spark, sf_dir, "embeddings")
     docs = vectors.select(F.col("vec_id").alias("doc_key"), F.col("embedding").alias("vector"))
-    asked = vectors.groupBy(F.col("label").alias("qid")).agg(
-        F.min_by("embedding", "vec_id").alias("question_vector")
-    )
+    asked = vectors.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("question_vector"))
     found = search.vector_topk(docs, asked, 3)
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
 @_register(f"""
     WITH docs AS (SELECT min(doc_id) AS doc_key, text AS document FROM documents GROUP BY text),
-    questions AS (SELECT lang AS qid, arg_min(text, doc_id) AS question FROM documents GROUP BY lang),
+    questions AS (SELECT doc_key AS qid, document AS question FROM docs),
     {_word_counts_sql("doc", "doc_key", "docs", "document")},
     {_word_counts_sql("question", "qid", "questions", "question")},
     {_SIMILARITY_SQL},
@@ -477,13 +505,11 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT qid, doc_key, round(similarity, 6) AS similarity, rank FROM ranked WHERE rank <= 5
 """)
 def distinct_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search over whole texts, each text found once; the first text of each
-    language asks."""
+    """Search over whole texts, each text found once, for each different text."""
     documents = _table(spark, sf_dir, "documents")
     texts = documents.select(F.col("doc_id").alias("doc_key"), F.col("text").alias("document"))
-    asked = documents.groupBy(F.col("lang").alias("qid")).agg(F.min_by("text", "doc_id").alias("question"))
-    asked = embed(asked, "question", "question_vector")
-    docs = embed(search.one_per_document(texts), "document", "vector")
+    docs = stage(embed(search.one_per_document(texts), "document", "vector"), "texts").df
+    asked = docs.select(F.col("doc_key").alias("qid"), F.col("vector").alias("question_vector"))
     return search.vector_topk(docs, asked, 5).withColumn("similarity", F.round("similarity", 6))
 
 

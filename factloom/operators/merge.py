@@ -2,7 +2,9 @@
 
 Rows match on the natural key, NULL-safe. A matched row whose change hash
 differs is replaced by the incoming one, a new row is inserted, everything else
-stays; nothing is deleted.
+stays; nothing is deleted. Where the target holds a key several times, the
+incoming row has one action for all of them: if any differs, each of them becomes
+the incoming row.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from factloom.sources import tables
 from factloom.sources.staging import Staged, stage
 
 ACTION = "action"
+# How many rows of the target an incoming row replaces, or 1 for an insert.
+COPIES = "_copies"
 
 
 class DuplicateKeys(ValueError):
@@ -31,6 +35,7 @@ class MergeResult:
     updated: int
     unchanged: int
     buckets_written: int
+    rows_rewritten: int = 0
 
 
 def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,8 +56,12 @@ def classify(target: DataFrame, source: Staged, keys: Sequence[str]) -> DataFram
 
     Of the target only the key and the hash are read. A small batch is
     broadcast to the target, which then needs no shuffle; what it finds there is
-    no more than one row per incoming row, and is broadcast back.
+    reduced to one row per key, and is broadcast back.
     """
+    return _with_action(target, source, keys).drop(COPIES)
+
+
+def _with_action(target: DataFrame, source: Staged, keys: Sequence[str]) -> DataFrame:
     incoming = source.df
     known = target.select(*keys, F.col(ROW_HASH).alias("_known_hash"))
     if source.small:
@@ -61,14 +70,25 @@ def classify(target: DataFrame, source: Staged, keys: Sequence[str]) -> DataFram
         for key in keys:
             on = on & F.col(key).eqNullSafe(F.col(f"_{key}"))
         known = known.join(F.broadcast(wanted), on, "left_semi")
-    found = source.side(known.withColumn("_found", F.lit(True)))
+    known = known.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_found"), F.min("_known_hash").alias("_least"), F.max("_known_hash").alias("_most")
+    )
+    found = source.side(known)
     joined = incoming.join(found, same_key(incoming, found, keys), "left")
     action = (
         F.when(F.col("_found").isNull(), "insert")
-        .when(F.col(ROW_HASH) != F.col("_known_hash"), "update")
+        .when((F.col("_least") != F.col(ROW_HASH)) | (F.col("_most") != F.col(ROW_HASH)), "update")
         .otherwise("unchanged")
     )
-    return joined.select(*[incoming[c] for c in incoming.columns], action.alias(ACTION))
+    copies = F.coalesce("_found", F.lit(1)).alias(COPIES)
+    return joined.select(*[incoming[c] for c in incoming.columns], action.alias(ACTION), copies)
+
+
+def changed_rows(changes: Staged, action: str | None = None) -> DataFrame:
+    """The rows to write: each changed row as often as the target had its key."""
+    rows = changes.df if action is None else changes.df.where(F.col(ACTION) == action)
+    repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col(COPIES)))
+    return rows.withColumn(COPIES, repeated).drop(ACTION, COPIES)
 
 
 def kept_rows(target: DataFrame, changes: Staged, keys: Sequence[str]) -> DataFrame:
@@ -80,7 +100,7 @@ def kept_rows(target: DataFrame, changes: Staged, keys: Sequence[str]) -> DataFr
 def stage_changes(target: DataFrame, source: Staged, keys: Sequence[str]) -> tuple[Staged, MergeResult]:
     """Keep of the incoming rows those that insert or update, and count them."""
     counted = stage(
-        classify(target, source, keys).where(F.col(ACTION) != "unchanged"),
+        _with_action(target, source, keys).where(F.col(ACTION) != "unchanged"),
         "changes",
         {
             "inserted": F.count_if(F.col(ACTION) == "insert"),
@@ -110,7 +130,7 @@ def merge_plan(
     sides carry ``row_hash``."""
     staged = stage_source(source, keys, dedupe_by)
     changes, result = stage_changes(target, staged, keys)
-    return kept_rows(target, changes, keys).unionByName(changes.df.drop(ACTION)), result
+    return kept_rows(target, changes, keys).unionByName(changed_rows(changes)), result
 
 
 def apply_merge(
@@ -121,20 +141,26 @@ def apply_merge(
     dedupe_by: str | None = None,
 ) -> MergeResult:
     """Merge a batch into the table at ``path``. Reads the hashes of the buckets
-    the batch touches and rewrites the buckets in which a row changes."""
+    the batch touches, rewrites the buckets in which a row is updated, and appends
+    what is new. If it is stopped between the two, the same merge completes it."""
     staged = stage_source(source, keys, dedupe_by)
     touched = _buckets(staged.df, tables.bucket_count(spark, path))
     changes, result = stage_changes(tables.read_current(spark, path, touched), staged, keys)
     if not changes.rows:
         return result
-    dirty = _buckets(changes.df, tables.bucket_count(spark, path))
-    kept = kept_rows(tables.read_current(spark, path, dirty), changes, keys)
-    # Few changes are broadcast, so the kept rows still lie by bucket as read.
-    tables.replace_buckets(kept, changes.df.drop(ACTION), path, ROW_KEY, in_place=changes.small)
-    return MergeResult(result.inserted, result.updated, result.unchanged, len(dirty))
+    dirty, rewritten = [], 0
+    if result.updated:
+        updated = changed_rows(changes, "update")
+        dirty = _buckets(changes.df.where(F.col(ACTION) == "update"), tables.bucket_count(spark, path))
+        kept = kept_rows(tables.read_current(spark, path, dirty), changes, keys)
+        # Few changes are broadcast, so the kept rows still lie by bucket as read.
+        rewritten = tables.replace_buckets(kept, updated, path, ROW_KEY, in_place=changes.small)
+    if result.inserted:
+        tables.append(changed_rows(changes, "insert"), path, ROW_KEY)
+    return MergeResult(result.inserted, result.updated, result.unchanged, len(dirty), rewritten)
 
 
 def _buckets(df: DataFrame, buckets: int) -> list[int]:
     """The distinct buckets of the rows; at most as many as the table has."""
-    found = df.select(tables.bucket_of(ROW_KEY, buckets).alias("b")).distinct().limit(buckets)
+    found = df.select(tables.bucket_of(ROW_KEY, buckets).alias("b")).distinct()
     return sorted(row.b for row in found.collect())

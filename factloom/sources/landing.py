@@ -17,20 +17,37 @@ def read_landing(
     pattern: str = "*.csv",
     file_column: str | None = None,
     multi_line: bool = True,
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Read every CSV file in a landing folder that matches ``pattern``.
 
     ``schema=None`` infers the types, at the cost of one more pass. Columns are
-    bound by position, as declared in the file. ``file_column`` names a column
+    bound by the names in the header, whatever their order; a column the header
+    lacks, or files whose headers differ, fail. ``mode`` says what a bad value
+    does: NULL, or with ``FAILFAST`` an error. ``file_column`` names a column
     for the file each row came from. A quoted field may hold line breaks, hence
     one task per file; for single huge files without such fields
     ``multi_line=False`` lets Spark split them.
     """
     if not glob(spark, f"{path}/{pattern}"):
         raise FileNotFoundError(f"no file matches {path}/{pattern}")
-    reader = spark.read.options(**CSV_FORMAT).option("pathGlobFilter", pattern)
+    reader = spark.read.options(**CSV_FORMAT).option("pathGlobFilter", pattern).option("mode", mode)
     if not multi_line:
         reader = reader.option("multiLine", "false")
-    reader = reader.option("inferSchema", "true") if schema is None else reader.schema(schema)
-    df = reader.csv(path)
-    return df.withColumn(file_column, F.col("_metadata.file_path")) if file_column else df
+    if schema is None:
+        df = reader.option("inferSchema", "true").csv(path)
+    else:
+        df = reader.schema(_as_in_file(reader.csv(path).columns, schema)).option("enforceSchema", "false").csv(path)
+        df = df.select(*[F.col(f"`{f.name}`") for f in schema], *([F.col("_metadata")] if file_column else []))
+    if not file_column:
+        return df
+    return df.withColumn(file_column, F.col("_metadata.file_path")).drop("_metadata")
+
+
+def _as_in_file(header: list[str], schema: T.StructType) -> T.StructType:
+    """The declared types in the order of the header; other columns are texts."""
+    declared = {f.name: f for f in schema}
+    missing = sorted(set(declared) - set(header))
+    if missing:
+        raise ValueError(f"the header lacks {missing}")
+    return T.StructType([declared.get(name, T.StructField(name, T.StringType())) for name in header])

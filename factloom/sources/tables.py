@@ -6,10 +6,11 @@ write and complete once Spark's ``_SUCCESS`` marker is there:
 
     <table>/snapshot=000001-base-64/key_bucket=0/part-...   the whole table
     <table>/snapshot=000002-delta-64/key_bucket=7/part-...  whole rewritten buckets
+    <table>/snapshot=000003-append-64/key_bucket=5/part-... further rows
 
-The current content of a bucket is its copy in the latest complete snapshot
-since the last base. Rows are bucketed by their surrogate key, so a merge
-writes only the buckets in which a row changed. One writer at a time.
+The current content of a bucket is its copy in the latest complete base or delta,
+and what was appended since. Rows are bucketed by their surrogate key, so a merge
+rewrites only the buckets in which a row changed. One writer at a time.
 """
 
 from __future__ import annotations
@@ -45,7 +46,18 @@ def overwrite(df: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS
     """Make ``df`` the whole content of the table; return its row count. Choose
     the number of buckets so that one is a few gigabytes."""
     target = _next_snapshot(df.sparkSession, path, "base", buckets)
-    return _write_buckets(_gathered(df, key, buckets), target)
+    rows = _write_buckets(_gathered(df, key, buckets), target)
+    if not rows:
+        # A partitioned write of no rows leaves no file that tells the columns.
+        create_or_replace(df.sparkSession, path, df.schema, buckets)
+    return rows
+
+
+def append(df: DataFrame, path: str, key: str) -> int:
+    """Add rows and leave all others as they lie; return how many were added."""
+    spark = df.sparkSession
+    buckets = bucket_count(spark, path)
+    return _write_buckets(_gathered(df, key, buckets), _next_snapshot(spark, path, "append", buckets))
 
 
 def replace_buckets(
@@ -69,9 +81,9 @@ def read_current(spark: SparkSession, path: str, only: Iterable[int] | None = No
     wanted = list(live) if only is None else [b for b in only if b in live]
     if not wanted:
         # An empty selection still has the columns of the table.
-        some = next(iter(live.values()), base)
+        some = next(iter(live.values()), [base])[0]
         return spark.read.parquet(some).limit(0)
-    rows = spark.read.option("basePath", path).parquet(*[live[b] for b in wanted])
+    rows = spark.read.option("basePath", path).parquet(*[folder for b in wanted for folder in live[b]])
     return rows.drop("snapshot", BUCKET)
 
 
@@ -122,13 +134,16 @@ def _next_snapshot(spark: SparkSession, path: str, kind: str, buckets: int) -> s
     return f"{path}/snapshot={max(taken, default=0) + 1:06d}-{kind}-{buckets}"
 
 
-def _live_buckets(spark: SparkSession, path: str) -> tuple[str, dict[int, str]]:
+def _live_buckets(spark: SparkSession, path: str) -> tuple[str, dict[int, list[str]]]:
     snapshots = _complete_snapshots(spark, path)
     bases = [s for s in snapshots if s.rsplit("-", 2)[1] == "base"]
     if not bases:
         raise FileNotFoundError(f"no table at {path}")
-    live: dict[int, str] = {}
+    live: dict[int, list[str]] = {}
     for snapshot in snapshots[snapshots.index(bases[-1]) :]:
+        kind = snapshot.rsplit("-", 2)[1]
         for folder in glob(spark, f"{snapshot}/{BUCKET}=*"):
-            live[int(folder.rsplit("=", 1)[1])] = folder
+            bucket = int(folder.rsplit("=", 1)[1])
+            older = live.get(bucket, []) if kind == "append" else []
+            live[bucket] = [*older, folder]
     return bases[-1], live

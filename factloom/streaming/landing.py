@@ -29,7 +29,8 @@ def merge_new_files(
         if on_merge is not None:
             on_merge(batch_id, result)
 
-    files = spark.readStream.schema(spec.schema).options(**CSV_FORMAT).csv(landing)
+    # A file whose header differs from the schema stops the stream.
+    files = spark.readStream.schema(spec.schema).options(**CSV_FORMAT).option("enforceSchema", "false").csv(landing)
     return (
         files.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)

@@ -178,3 +178,35 @@ def test_stage_measures(spark):
     staged = staging.stage(frame(spark, ("a", "1", "x", 1), ("bb", "1", None, 2)), "t", {"most": F.max("goals")})
     assert (staged.rows, staged.metrics) == (2, {"most": 2}) and staged.bytes >= 6
     assert staging.stage(frame(spark).limit(0), "t").rows == 0
+
+
+def test_repeated_target_keys_lose_no_row(spark, table, any_size):
+    old = frame(spark, ("a", "1", "x", 1), ("a", "1", "x", 2), ("b", "1", "x", 1), ("b", "1", "x", 2), ("c", "1", "x", 5), ("c", "1", "x", 5))
+    new = frame(spark, ("a", "1", "x", 1), ("b", "1", "x", 9), ("c", "1", "x", 5))
+    tables.overwrite(with_keys(old, KEYS), table, ROW_KEY, 4)
+    result = apply_merge(spark, table, with_keys(new, KEYS), KEYS)
+    assert (result.inserted, result.updated, result.unchanged) == (0, 2, 1)
+    wanted = [("a", "1", 1)] * 2 + [("b", "1", 9)] * 2 + [("c", "1", 5)] * 2
+    assert content(spark, table) == wanted
+    merged, counts = merge_plan(with_keys(old, KEYS), with_keys(new, KEYS), KEYS)
+    assert sorted(map(tuple, merged.select("name", "match", "goals").collect())) == wanted
+    assert counts.unchanged == 1
+
+
+def test_inserts_rewrite_nothing(spark, sf, table):
+    orders = with_keys(sf("orders"), ["o_orderkey"])
+    old, new = orders.where("o_orderkey % 10 > 0"), orders.where("o_orderkey % 10 = 0")
+    tables.overwrite(old, table, ROW_KEY, 8)
+    result = apply_merge(spark, table, new, ["o_orderkey"])
+    assert (result.inserted, result.rows_rewritten, result.buckets_written) == (new.count(), 0, 0)
+    again = apply_merge(spark, table, orders.withColumn(ROW_HASH, F.lit(-1).cast("long")), ["o_orderkey"])
+    assert (again.updated, again.rows_rewritten) == (orders.count(), orders.count())
+    assert tables.read_current(spark, table).count() == orders.count()
+
+
+def test_overwrite_with_no_rows_gives_an_empty_table(spark, table):
+    source = enrich(frame(spark, ("a", "1", "x", 1)), KEYS, "team", "goals", "top")
+    assert tables.overwrite(source.limit(0), table, ROW_KEY, 4) == 0
+    assert tables.read_current(spark, table).columns == source.columns and not content(spark, table)
+    assert apply_merge(spark, table, source, KEYS).inserted == 1
+    assert content(spark, table) == [("a", "1", 1)]

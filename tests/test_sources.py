@@ -83,3 +83,28 @@ def test_rating_boundary(spark):
     over = spark.createDataFrame([(Decimal("10.0"),)], "r decimal(3,1)")
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
         conform(over, schema).select(F.max("r")).collect()
+
+
+def test_columns_are_bound_by_name(spark, landing):
+    path = landing("a.csv", "age,more,player_name,player_id\n22,z,Jo,P1\n")
+    df = read_landing(spark, path, SMALL, file_column="file")
+    assert df.columns == ["player_id", "player_name", "age", "file"]
+    assert tuple(df.drop("file").first()) == ("P1", "Jo", 22)
+    with pytest.raises(ValueError, match="age"):
+        read_landing(spark, landing("b.csv", "player_id,player_name\nP1,Jo\n").replace("a.csv", ""), SMALL, pattern="b.csv")
+
+
+def test_differing_headers_and_bad_values_fail(spark, landing):
+    landing("a.csv", "player_id,player_name,age\nP1,Jo,oops\n")
+    path = landing("b.csv", "player_name,player_id,age\nJo,P1,3\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_landing(spark, path, SMALL).collect()
+    assert read_landing(spark, path, SMALL, pattern="a.csv").first().age is None
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_landing(spark, path, SMALL, pattern="a.csv", mode="FAILFAST").collect()
+    assert read_landing(spark, path, SMALL, pattern="b.csv").first().player_name == "Jo"
+
+
+def test_header_without_rows(spark, landing):
+    df = read_landing(spark, landing("a.csv", "player_id,player_name,age\n"), SMALL)
+    assert df.count() == 0 and df.schema == SMALL
