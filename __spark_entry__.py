@@ -3,6 +3,7 @@ SQL that gives the same rows on another engine."""
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 from collections.abc import Callable
@@ -158,6 +159,28 @@ def initial_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.withColumn("rows_written", F.lit(rows).cast("long"))
 
 
+@_register("""
+    SELECT count(*) AS loaded, 0::bigint AS inserted, 0::bigint AS updated, count(*) AS unchanged,
+           count(*) AS documents
+    FROM orders
+""")
+def load_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All load steps over landed files: full load, the same rows as a delta, vectors."""
+    orders = _table(spark, sf_dir, "orders")
+    landing = scratch_path(spark, "landing")
+    orders.write.options(**CSV_FORMAT).csv(landing)
+    spec = loads.LoadSpec(
+        schema=orders.schema, keys=("o_orderkey",), group="o_custkey", value="o_totalprice",
+        group_max="largest_order", buckets=8,
+        sentence=("The order", "{o_orderkey}", "has the priority", "{o_orderpriority}"),
+    )
+    done = loads.run(spark, landing, scratch_path(spark, "table"), scratch_path(spark, "table"), spec)
+    return _counts(spark, done.merged).select(
+        F.lit(done.loaded).cast("long").alias("loaded"), "inserted", "updated", "unchanged",
+        F.lit(done.documents).cast("long").alias("documents"),
+    )
+
+
 @_register("SELECT count(*) AS n_rows FROM lineitem")
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count that the write itself observes."""
@@ -547,20 +570,23 @@ def keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register(f"""
     WITH docs AS ({_CUSTOMER_DOCS_SQL})
-    SELECT n_nationkey AS qid, doc_key FROM nation JOIN docs
+    SELECT n_nationkey AS qid, count(doc_key) AS matches FROM nation LEFT JOIN docs
     ON document ILIKE concat('%', n_name, '%') AND document ILIKE '%household%'
+    GROUP BY n_nationkey
     UNION ALL
-    SELECT 100 + r_regionkey, doc_key FROM region JOIN docs ON document ILIKE concat('%', r_name, '%')
+    SELECT 100 + r_regionkey, count(doc_key) FROM region LEFT JOIN docs
+    ON document ILIKE concat('%', r_name, '%')
+    GROUP BY r_regionkey
 """)
 def keyword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keywords from a table of questions."""
+    """Keywords from a table of questions: how many documents hold those of each."""
     nations = _table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("qid"), F.array("n_name", F.lit("household")).alias("hard_keywords")
     )
     regions = _table(spark, sf_dir, "region").select(
         (F.col("r_regionkey") + 100).alias("qid"), F.array("r_name").alias("hard_keywords")
     )
-    return search.keyword_matches(_customer_documents(spark, sf_dir), nations.unionByName(regions))
+    return search.keyword_counts(_customer_documents(spark, sf_dir), nations.unionByName(regions))
 
 
 # Questions about every nation and region. Regions do not occur in the documents.
@@ -610,9 +636,8 @@ def _filtered_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hybrid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    docs = embed(_customer_documents(spark, sf_dir), "document", "vector")
     asked = _filtered_questions(spark, sf_dir)
-    return asked, answering.hybrid_retrieval(docs, asked)
+    return asked, answering.hybrid_retrieval(_customer_documents(spark, sf_dir), asked)
 
 
 @_register(_HYBRID_SQL + "SELECT qid, doc_key, round(similarity, 6) AS similarity, rank, document FROM found")
@@ -707,6 +732,34 @@ def parse_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("id", "status", F.get("hard_keywords", F.lit(0)).alias("keyword"), "semantic_query")
 
 
+@_register("""
+    SELECT c_custkey AS qid,
+           CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD') THEN 'bad_filters' ELSE 'ok' END AS status,
+           CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD') THEN c_mktsegment END AS keyword
+    FROM customer
+""")
+def requested_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filters by a remote client that fails on some questions: an error, text that
+    is no JSON, and a NULL keyword cost one question each."""
+
+    class Client:
+        def extract(self, prompt: str) -> str:
+            name, segment = prompt.split('Query: "')[1].split('"')[0].rsplit(" ", 1)
+            if segment == "BUILDING":
+                raise ConnectionError(name)
+            if segment == "MACHINERY":
+                return "no filters found"
+            words = [segment, None] if segment == "HOUSEHOLD" else [segment]
+            return json.dumps({"hard_keywords": words, "semantic_query": name})
+
+    asked = _table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("qid"), F.concat_ws(" ", "c_name", "c_mktsegment").alias("question")
+    )
+    responses = stage(filters.request_filters(asked, Client), "responses").df
+    keyword = F.when(F.col("status") == filters.OK, F.get("hard_keywords", F.lit(0)))
+    return filters.parse_filters(responses).select("qid", "status", keyword.alias("keyword"))
+
+
 # --- Vector-only answers and transcripts -------------------------------------------
 
 _TRANSCRIPT_SQL = f"""

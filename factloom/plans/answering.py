@@ -28,7 +28,7 @@ def vector_retrieval(
 ) -> DataFrame:
     """Best documents of each ``(qid, question)``, by the whole question."""
     asked = embed(questions, "question", "question_vector", make_embedder)
-    return attach_documents(vector_topk(docs, asked, k), docs)
+    return attach_documents(vector_topk(docs, asked, k, make_embedder=make_embedder), docs)
 
 
 def hybrid_retrieval(
@@ -40,11 +40,13 @@ def hybrid_retrieval(
     distinct_documents: bool = False,
 ) -> DataFrame:
     """Best documents of each ``(qid, hard_keywords, semantic_query)`` that hold
-    all the keywords. Only the semantic part is embedded."""
+    all the keywords. Only the semantic part is embedded. Documents may come
+    without vectors; then those that hold the keywords are embedded."""
     if "status" in filtered.columns:
         filtered = filtered.where(F.col("status") == OK)
     asked = embed(filtered, "semantic_query", "question_vector", make_embedder)
-    return attach_documents(hybrid_topk(docs, asked, k, literal, distinct_documents), docs)
+    found = hybrid_topk(docs, asked, k, literal, distinct_documents, make_embedder=make_embedder)
+    return attach_documents(found, docs)
 
 
 def answer(

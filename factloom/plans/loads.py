@@ -16,6 +16,7 @@ from factloom.operators.merge import MergeResult, apply_merge
 from factloom.schemas import DOCUMENT, GROUP_MAX, ROW_HASH, ROW_KEY, SRC, VECTOR
 from factloom.sources import tables
 from factloom.sources.landing import read_landing
+from factloom.sources.staging import stage
 
 
 @dataclass(frozen=True)
@@ -29,6 +30,15 @@ class LoadSpec:
     group_max: str = GROUP_MAX
     sentence: Sequence[str] = PLAYER_SENTENCE
     buckets: int = tables.DEFAULT_BUCKETS
+    # Landing files: which ones, whether a field may hold line breaks, and what a bad value does.
+    pattern: str = "*.csv"
+    multi_line: bool = True
+    mode: str = "FAILFAST"
+
+    def read(self, spark: SparkSession, landing: str) -> DataFrame:
+        return read_landing(
+            spark, landing, self.schema, self.pattern, multi_line=self.multi_line, mode=self.mode
+        )
 
     def enrich(self, df: DataFrame) -> DataFrame:
         return enrich(df, self.keys, self.group, self.value, self.group_max)
@@ -100,8 +110,10 @@ def run(
     spec: LoadSpec = LoadSpec(),
     make_embedder: EmbedderFactory = HashingEmbedder,
 ) -> RunResult:
-    """All load steps in order. The first failing step ends the run."""
-    loaded = initial_load(read_landing(spark, landing, spec.schema), raw_table, spec)
-    merged = delta_load(read_landing(spark, landing, spec.schema), raw_table, spec)
+    """All load steps in order. The first failing step ends the run. The landing
+    files are parsed and enriched once, for both loads."""
+    rows = stage(spec.enrich(spec.read(spark, landing)), "enriched").df
+    loaded = tables.overwrite(rows, raw_table, ROW_KEY, spec.buckets)
+    merged = apply_merge(spark, raw_table, rows, spec.keys)
     raw = tables.read_current(spark, raw_table)
     return RunResult(loaded, merged, build_vectors(raw, vector_table, spec, make_embedder))

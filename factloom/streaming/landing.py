@@ -30,7 +30,9 @@ def merge_new_files(
             on_merge(batch_id, result)
 
     # A file whose header differs from the schema stops the stream.
-    files = spark.readStream.schema(spec.schema).options(**CSV_FORMAT).option("enforceSchema", "false").csv(landing)
+    reader = spark.readStream.schema(spec.schema).options(**CSV_FORMAT).option("enforceSchema", "false")
+    reader = reader.option("pathGlobFilter", spec.pattern).option("mode", spec.mode)
+    files = (reader if spec.multi_line else reader.option("multiLine", "false")).csv(landing)
     return (
         files.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)

@@ -83,6 +83,17 @@ def test_new_files_are_merged_as_they_arrive(spark, tmp_path):
     assert tables.read_current(spark, table).where("age = 40").count() == 12
 
 
+def test_bad_values_end_a_load(spark, tmp_path):
+    landing, raw, vectors = (str(tmp_path / n) for n in ("landing", "raw", "vectors"))
+    write_landing(landing, "a.csv", player_rows(3, age="old"))
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        run(spark, landing, raw, vectors, SPEC)
+    loose = LoadSpec(buckets=4, mode="PERMISSIVE", pattern="a*.csv")
+    write_landing(landing, "b.csv", player_rows(3))
+    assert run(spark, landing, raw, vectors, loose).loaded == 3
+    assert tables.read_current(spark, raw).where("age IS NULL").count() == 3
+
+
 def test_embedder_is_a_parameter(spark, tmp_path):
     landing, raw, vectors = (str(tmp_path / n) for n in ("landing", "raw", "vectors"))
     write_landing(landing, "a.csv", player_rows(3))
@@ -95,7 +106,7 @@ def test_entry(spark):
     assert found.columns == ["qid", "doc_key", "similarity", "rank", "document"] and found.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_equals_its_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     database = duckdb.connect()
