@@ -7,7 +7,9 @@ least filled sequence is emptied by moves and by exchanges of one for one, two f
 one or one for two, each of which moves tokens into a fuller sequence and so
 raises the sum of squared fills. It ends when nothing more can be emptied. What
 stays underfull in one block meets that of other blocks in the next round, until
-one block holds all of it.
+one block holds all of it. At most half of a block's pieces go on to the next round,
+those of its least filled sequences, so that the rounds come to an end whatever the
+lengths are.
 
 Defined cases: a NULL or empty text is the end token alone. Rows are packed one by
 one, so repeated rows and equal ids are packed as often as they occur. An empty
@@ -92,7 +94,7 @@ def _pack_blocks(left: DataFrame, names: list[str], blocks: int, capacity: int,
         table = table.take(pa.compute.sort_indices(table.column("_row")))
         bin_of, offset, fill = pack_block(table.column("length").to_numpy(), capacity)
         # What is left over goes on to a block of the left-over of others.
-        closed = np.ones(len(bin_of), bool) if last else (fill >= capacity - capacity // 64)[bin_of]
+        closed = np.ones(len(bin_of), bool) if last else closed_bins(bin_of, fill, capacity)[bin_of]
         sequence = (np.int64(level) << 58) | (np.int64(key[0].as_py()) << 20) | bin_of
         out = table.select([*names, "_row"])
         for name, values in (("sequence_id", sequence), ("offset", offset), ("_closed", closed)):
@@ -103,6 +105,16 @@ def _pack_blocks(left: DataFrame, names: list[str], blocks: int, capacity: int,
     return dealt.groupBy("_block").applyInArrow(run, schema)
 
 
+def closed_bins(bin_of: np.ndarray, fill: np.ndarray, capacity: int) -> np.ndarray:
+    """Which bins are done: the nearly full ones, and the fullest others until at most half of the pieces are open."""
+    closed = fill >= capacity - capacity // 64
+    pieces_of = np.bincount(bin_of, minlength=len(fill))
+    emptiest = np.argsort(fill, kind="stable")
+    waiting = np.cumsum(np.where(closed, 0, pieces_of)[emptiest])
+    closed[emptiest[waiting > len(bin_of) // 2]] = True
+    return closed
+
+
 def pack_block(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bin and offset of each piece, and the fill of each bin."""
     bins = Bins(lengths.tolist(), capacity)

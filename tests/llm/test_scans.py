@@ -5,6 +5,7 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,6 +150,22 @@ def test_packing_round_trip(which, sf, nasty, nothing):
     assert len(sequences) <= -(-total // 1024) * 1.02 + 2
 
 
+@pytest.mark.parametrize("small", [0, 700])
+def test_packing_ends_where_pieces_do_not_combine(spark, small):
+    parts = spark.range(20_000).select(F.when(F.col("id") < small, 424).otherwise(600).cast("long").alias("length"))
+    got = packing.pack(parts).groupBy("sequence_id").agg(F.sum("length").alias("fill"), F.count("*").alias("n")).collect()
+    assert sum(r["n"] for r in got) == 20_000 and max(r["fill"] for r in got) <= 1024
+    assert len(got) == 20_000 - small  # the lower bound: no two of 600 fit
+
+
+def test_at_most_half_of_a_block_stays_open():
+    lengths = np.array([600] * 999 + [1020] * 3 + [5] * 40)
+    bin_of, _, fill = packing.pack_block(lengths, 1024)
+    closed = packing.closed_bins(bin_of, fill, 1024)
+    assert closed[fill >= 1008].all() and 0 < (~closed[bin_of]).sum() <= len(lengths) // 2
+    assert fill[~closed].max() <= fill[closed & (fill < 1008)].min()
+
+
 def test_local_search_empties_what_best_fit_leaves():
     lengths = [4, 4, 4, 3, 3, 3, 3, 3, 3]  # best fit takes four bins
     bins = packing.Bins(lengths, 10)
