@@ -19,8 +19,8 @@ table gives no sequences. Other columns are not read.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +35,6 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                            ("length", pa.int64()), ("ids_crc32", pa.int64())])
 BLOCK_PIECES = 16_384
-# Effort of the search in one block: bins tried as sources, exchanges between others, bins tried as targets,
-# and least filled bins given up.
-SOURCES, STEPS, TARGETS, GIVEN_UP = 8, 16, 64, 32
 
 
 def cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:
@@ -133,7 +130,11 @@ def pack_block(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarr
 
 
 class Bins:
-    """Sequences of one block: their pieces, their fill, and which have what room."""
+    """Sequences of one block: their pieces, their fill, and which have what room.
+
+    For the search, tables hold for each room the lengths of single pieces and of pairs
+    of pieces in bins with that room, so that all bins are looked at together.
+    """
 
     def __init__(self, lengths: list[int], capacity: int):
         self.lengths, self.capacity = lengths, capacity
@@ -141,6 +142,7 @@ class Bins:
         self.fill: list[int] = []
         self.with_room: list[dict[int, None]] = [{} for _ in range(capacity + 1)]  # in order of arrival
         self.rooms = 0  # bit r is set if some bin has room r
+        self.tables: tuple[LengthTable, LengthTable] | None = None  # of single pieces and of pairs
         for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
             fits = self.rooms >> lengths[i]
             if lengths[i] < capacity and fits:
@@ -154,6 +156,8 @@ class Bins:
     def change(self, at: int, out: list[int], into: list[int]) -> None:
         """Takes pieces out of a bin and puts others in."""
         before = self.capacity - self.fill[at]
+        if self.tables and at in self.with_room[before]:
+            self._enter(at, -1)
         self.with_room[before].pop(at, None)
         if not self.with_room[before]:
             self.rooms &= ~(1 << before)
@@ -165,85 +169,140 @@ class Bins:
         if self.items[at] and room:
             self.with_room[room][at] = None
             self.rooms |= 1 << room
+            if self.tables:
+                self._enter(at, 1)
+                self.clock += 1
+                self.arrived[room] = self.clock
+        if self.tables:
+            self.stuck_at.pop(at, None)
+
+    def _enter(self, at: int, sign: int) -> None:
+        """Adds a bin's lengths to the tables, or takes them out."""
+        if sign > 0:
+            self.sums[at] = self._sums(self.items[at])
+        for table, sums in zip(self.tables, self.sums[at]):
+            table.add(self.capacity - self.fill[at], list(sums), sign)
+
+    def _sums(self, items: list[int]) -> tuple[dict[int, list[int]], dict[int, list[int]]]:
+        """Lengths of single pieces and of pairs, and pieces that have them."""
+        by_length: dict[int, list[int]] = {}
+        for i in items:
+            by_length.setdefault(self.lengths[i], []).append(i)
+        pairs: dict[int, list[int]] = {}
+        if len(items) <= 12:
+            known = list(by_length.items())
+            for n, (a, of_a) in enumerate(known):
+                if len(of_a) > 1:
+                    pairs.setdefault(2 * a, of_a[:2])
+                for b, of_b in known[n + 1:]:
+                    pairs.setdefault(a + b, [of_a[0], of_b[0]])
+        return {a: of_a[:1] for a, of_a in by_length.items()}, pairs
 
     def empty_the_least(self) -> None:
-        """Empties underfull bins, least filled first, while the total could fit in fewer.
+        """Moves and exchanges, least filled bins first, until the bins are as few as the
+        lower bound or no bin has one left.
 
-        Where the least filled is stuck, exchanges between others come first; those with
-        most room, ``SOURCES`` of them, are tried, ``STEPS`` times in all. Each looks at the
-        ``TARGETS`` fullest bins, and it ends after ``GIVEN_UP`` bins that stay. These bound the effort of the search, not what is packed.
+        A bin that was stuck is tried again only against rooms in which bins have arrived since.
         """
-        total, kept, steps = sum(self.lengths), set(), STEPS
-        count = len(self.items)
-        while count > -(-total // self.capacity):
-            open_bins = (b for r in range(self.capacity, 0, -1) for b in list(self.with_room[r]) if b not in kept)
-            sources = list(islice(open_bins, SOURCES))
-            if not sources or len(kept) >= GIVEN_UP:
-                return
-            least = sources[0]
-            while self.items[least] and self.improve(least):
-                pass
-            if not self.items[least]:
-                count -= 1
-            elif steps and any(self.improve(b) for b in sources[1:]):
-                steps -= 1
-                count = sum(map(bool, self.items))
-            else:
-                kept.add(least)
+        least, count = lower_bound(self.lengths, self.capacity), len(self.items)
+        if count <= least:
+            return
+        self.tables = LengthTable(self.capacity), LengthTable(self.capacity)
+        self.sums: dict[int, tuple[dict[int, list[int]], dict[int, list[int]]]] = {}
+        self.clock, self.arrived, self.stuck_at = 1, np.zeros(self.capacity + 1, np.int64), {}
+        for room, bins in enumerate(self.with_room):
+            for at in bins:
+                self._enter(at, 1)
+                self.arrived[room] = 1
+        again = True
+        while again:
+            again = False
+            for at in [b for r in range(self.capacity, 0, -1) for b in self.with_room[r]]:
+                while self.items[at] and self.fill[at] < self.capacity and self.improve(at):
+                    again = True
+                if not self.items[at]:
+                    count -= 1
+                    if count <= least:
+                        return
 
     def improve(self, least: int) -> bool:
         """One move or exchange that takes tokens out of ``least`` into a bin that is at
         least as full, so that the sum of squared fills grows."""
-        size = self.lengths
+        since = self.stuck_at.get(least, 0)
+        new = [r for r in np.flatnonzero(self.arrived > since).tolist() if self.rooms >> r & 1]
+        self.stuck_at[least] = self.clock
+        if not new:
+            return False
+        size, own_room = self.lengths, self.capacity - self.fill[least]
         own = sorted(self.items[least], key=lambda i: (-size[i], i))
         for i in own:  # move
-            fits = self.rooms >> size[i]
-            while fits:
-                room = size[i] + (fits & -fits).bit_length() - 1
-                at = next((b for b in self.with_room[room] if b != least and self.fill[b] >= self.fill[least] - size[i]), None)
+            for room in new[bisect_left(new, size[i]):]:
+                if self.capacity - room <= self.fill[least] - size[i]:
+                    break  # in emptier bins the squares would not grow
+                at = next((b for b in self.with_room[room] if b != least), None)
                 if at is not None:
                     self.change(least, [i], [])
                     self.change(at, [], [i])
                     return True
-                fits &= ~(1 << (room - size[i]))
-        best = None
-        targets = (at for room in range(1, self.capacity) if self.rooms >> room & 1 for at in list(self.with_room[room])
-                   if at != least and self.fill[at] >= self.fill[least])
-        for at in islice(targets, TARGETS):
-            room = self.capacity - self.fill[at]
-            found = self._exchange(own, self.items[at], room)
-            if found and (best is None or found[0] > best[0]):
-                best = (*found, at)
-                if found[0] == room:  # fills it to the brim
-                    break
-        if best is None:
+        rooms = [r for r in new if r < own_room or r == own_room and len(self.with_room[r]) > 1]
+        if not rooms:
             return False
-        _, mine, theirs, at = best
-        self.change(least, mine, [])
-        self.change(at, theirs, mine)
-        self.change(least, [], theirs)
+        mine = self.sums[least]
+        alone = own_room in rooms  # its own lengths are no target
+        if alone:
+            self._enter(least, -1)
+        singles, pairs = self.tables
+        found = max(singles.best(rooms, list(mine[0] | mine[1])), pairs.best(rooms, list(mine[0])), key=lambda f: (f[0], -f[1]))
+        if alone:
+            self._enter(least, 1)
+        gain, room, out = found
+        if gain <= 0:
+            return False
+        kind = next(n for n in (0, 1) if any(out - gain in self.sums[b][n] for b in self.with_room[room] if b != least)
+                    and (n == 0 or out in mine[0]))
+        at = next(b for b in self.with_room[room] if b != least and out - gain in self.sums[b][kind])
+        sent, back = mine[0].get(out) or mine[1][out], self.sums[at][kind][out - gain]
+        self.change(least, sent, [])
+        self.change(at, back, sent)
+        self.change(least, [], back)
         return True
 
-    def _exchange(self, own: list[int], other: list[int], room: int) -> tuple[int, list[int], list[int]] | None:
-        """The exchange that moves most tokens, at most ``room``, into the other bin."""
-        size, best = self.lengths, None
-
-        def consider(mine: list[int], theirs: list[int]) -> None:
-            nonlocal best
-            gain = sum(size[i] for i in mine) - sum(size[i] for i in theirs)
-            if 0 < gain <= room and (best is None or gain > best[0]):
-                best = (gain, mine, theirs)
-
-        for i in own:
-            for j in other:
-                consider([i], [j])
-        pairs = [(a, b) for n, a in enumerate(own) for b in own[n + 1:]] if len(own) <= 12 else []
-        for a, b in pairs:
-            for j in other:
-                consider([a, b], [j])
-        if len(other) <= 12:
-            for n, a in enumerate(other):
-                for b in other[n + 1:]:
-                    for i in own:
-                        consider([i], [a, b])
-        return best
+
+class LengthTable:
+    """How many bins of each room have a length, and the next length from any number on."""
+
+    def __init__(self, capacity: int):
+        self.none = capacity + 1
+        self.count = np.zeros((capacity + 1, capacity + 1), np.int32)
+        self.next = np.full((capacity + 1, capacity + 1), self.none, np.int32)
+        self.stale: set[int] = set()
+
+    def add(self, room: int, lengths: list[int], sign: int) -> None:
+        self.count[room, lengths] += sign
+        self.stale.add(room)
+
+    def best(self, rooms: list[int], lengths: list[int]) -> tuple[int, int, int]:
+        """The most that exchanging one of ``lengths`` for a smaller one moves into a bin
+        without exceeding its room; that room, the smallest if several, and the length."""
+        if not lengths:
+            return 0, 0, 0
+        for room in self.stale.intersection(rooms):
+            held = np.where(self.count[room] > 0, np.arange(self.none), self.none)
+            self.next[room] = np.minimum.accumulate(held[::-1])[::-1]
+            self.stale.remove(room)
+        of, out = np.array(rooms)[:, None], np.array(sorted(lengths))[None, :]
+        gain = out - self.next[of, np.maximum(out - of, 0)]
+        room, length = divmod(int(gain.argmax()), out.size)
+        return int(gain[room, length]), rooms[room], int(out[0, length])
+
+
+def lower_bound(lengths: list[int], capacity: int) -> int:
+    """Bins that any packing needs (Martello and Toth): pieces over half share no bin, and
+    pieces from a length on do not fit beside those that leave less room."""
+    number = np.bincount(np.array(lengths, np.int64), minlength=capacity + 1)
+    pieces, tokens = np.cumsum(number), np.cumsum(number * np.arange(capacity + 1))
+    small = np.arange(capacity // 2 + 1)  # shorter pieces are left out
+    over, half = len(lengths) - pieces[capacity // 2], capacity // 2
+    beside = (pieces[capacity - small] - pieces[half]) * capacity - (tokens[capacity - small] - tokens[half])
+    counted = tokens[half] - np.where(small > 0, tokens[np.maximum(small - 1, 0)], 0)
+    return int((over + np.maximum(0, -(-(counted - beside) // capacity))).max())

@@ -4,6 +4,7 @@ import re
 import zlib
 from bisect import bisect_right
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -176,6 +177,31 @@ def test_local_search_empties_what_best_fit_leaves():
     assert all(sum(lengths[i] for i in b) == f <= 10 for b, f in zip(bins.items, bins.fill))
 
 
+def plain_exchange(mine, theirs, capacity):
+    """Whether a move, or an exchange of one for one, two for one or one for two, fills the fuller of two bins further."""
+    room = capacity - sum(theirs)
+    moves = [a for a in mine if sum(theirs) > sum(mine) - a]
+    ones = [a - b for a in mine for b in theirs]
+    ones += [sum(two) - b for two in combinations(mine, 2) for b in theirs] + [a - sum(two) for a in mine for two in combinations(theirs, 2)]
+    return any(a <= room for a in moves) or sum(theirs) >= sum(mine) and any(0 < gain <= room for gain in ones)
+
+
+def test_local_search_leaves_no_exchange():
+    lengths = np.random.default_rng(4).integers(250, 420, 600).tolist()
+    bins = packing.Bins(lengths, 1024)
+    bins.empty_the_least()
+    left = [[lengths[i] for i in items] for items in bins.items if items]
+    assert len(left) >= packing.lower_bound(lengths, 1024) and sorted(sum(left, [])) == sorted(lengths)
+    assert all(sum(b) <= 1024 for b in left)
+    assert not any(plain_exchange(a, b, 1024) for a in left for b in left if a is not b)
+
+
+def test_lower_bound_of_bins():
+    assert packing.lower_bound([600] * 7, 1024) == 7 and packing.lower_bound([512] * 7, 1024) == 4
+    assert packing.lower_bound([600] * 7 + [424] * 7, 1024) == 7 and packing.lower_bound([600] * 7 + [425] * 7, 1024) == 10
+    assert packing.lower_bound([4, 4, 4, 3, 3, 3, 3, 3, 3], 10) == 3
+
+
 def plain_hilbert(point, bits):
     """Index by walking down the curve's quadrants, two dimensions."""
     x, y = point
