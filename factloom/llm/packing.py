@@ -189,15 +189,24 @@ class Bins:
         for i in items:
             by_length.setdefault(self.lengths[i], []).append(i)
         pairs: dict[int, list[int]] = {}
-        if len(items) <= 12:
-            known = list(by_length.items())
-            for n, (a, of_a) in enumerate(known):
-                if len(of_a) > 1:
-                    pairs.setdefault(2 * a, of_a[:2])
-                for b, of_b in known[n + 1:]:
-                    pairs.setdefault(a + b, [of_a[0], of_b[0]])
+        known = list(by_length.items())  # few even in a bin of many pieces: their sum is at most the capacity
+        for n, (a, of_a) in enumerate(known):
+            if len(of_a) > 1:
+                pairs.setdefault(2 * a, of_a[:2])
+            for b, of_b in known[n + 1:]:
+                pairs.setdefault(a + b, [of_a[0], of_b[0]])
         return {a: of_a[:1] for a, of_a in by_length.items()}, pairs
 
+    def start_search(self) -> None:
+        """Enters all underfull bins in the tables."""
+        self.tables = LengthTable(self.capacity), LengthTable(self.capacity)
+        self.sums: dict[int, tuple[dict[int, list[int]], dict[int, list[int]]]] = {}
+        self.clock, self.arrived, self.stuck_at = 1, np.zeros(self.capacity + 1, np.int64), {}
+        for room, bins in enumerate(self.with_room):
+            for at in bins:
+                self._enter(at, 1)
+                self.arrived[room] = 1
+
     def empty_the_least(self) -> None:
         """Moves and exchanges, least filled bins first, until the bins are as few as the
         lower bound or no bin has one left.
@@ -207,13 +216,7 @@ class Bins:
         least, count = lower_bound(self.lengths, self.capacity), len(self.items)
         if count <= least:
             return
-        self.tables = LengthTable(self.capacity), LengthTable(self.capacity)
-        self.sums: dict[int, tuple[dict[int, list[int]], dict[int, list[int]]]] = {}
-        self.clock, self.arrived, self.stuck_at = 1, np.zeros(self.capacity + 1, np.int64), {}
-        for room, bins in enumerate(self.with_room):
-            for at in bins:
-                self._enter(at, 1)
-                self.arrived[room] = 1
+        self.start_search()
         again = True
         while again:
             again = False

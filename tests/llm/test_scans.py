@@ -196,6 +196,18 @@ def test_local_search_leaves_no_exchange():
     assert not any(plain_exchange(a, b, 1024) for a in left for b in left if a is not b)
 
 
+@pytest.mark.parametrize("lengths,capacity,source,fills", [
+    ([19] * 14 + [10] * 15, 267, 1, [267, 149]),  # two of 10 for one of 19
+    ([20] * 13 + [9] * 29, 263, 0, [258, 263]),  # one of 20 for two of 9
+])
+def test_pairs_are_exchanged_between_bins_of_many_pieces(lengths, capacity, source, fills):
+    bins = packing.Bins(lengths, capacity)
+    assert min(map(len, bins.items)) > 12
+    bins.start_search()
+    assert bins.improve(source) and bins.fill == fills
+    assert [sum(lengths[i] for i in items) for items in bins.items] == fills
+
+
 def test_lower_bound_of_bins():
     assert packing.lower_bound([600] * 7, 1024) == 7 and packing.lower_bound([512] * 7, 1024) == 4
     assert packing.lower_bound([600] * 7 + [424] * 7, 1024) == 7 and packing.lower_bound([600] * 7 + [425] * 7, 1024) == 10
