@@ -1,12 +1,14 @@
 """Benchmark decontamination by template windows, with DataFrame functions only.
 
 Texts become words and numbers. Numbers, units after numbers and capitalised words
-are replaced by typed placeholders, which gives the template. Windows of template
-tokens are joined by hash with those of the benchmark. Windows that lie on one
-diagonal (the same shift between item and document) are counted together, and
-where they cover enough of an item, document and item are laid side by side: each
-value in the item's slots must become one and the same value in the document,
-wherever it stands. That keeps re-parameterised questions, in which names and
+are replaced by typed placeholders, a run of names or of numbers by a single one,
+which gives the template. Windows of template tokens are joined by hash with those
+of the benchmark. Windows that lie on neighbouring diagonals (shifts between item and
+document less than ``BAND`` apart) are counted together, so that words put in or
+left out do not part them, and where they cover enough of an item, each slot is laid
+beside the document on the diagonal of the window next to it: each value in the
+item's slots must become one and the same value in the document, wherever it stands.
+A run at an end of the item may go on in the document. That keeps re-parameterised questions, in which names and
 numbers are exchanged throughout, and drops chance agreements of templates.
 
 Only matching windows are shuffled; the words of documents are not. The benchmark's
@@ -34,6 +36,8 @@ UNITS = ("mm cm m km inch inches foot feet ft yard yards mile miles g kg mg gram
          "ounce ounces oz ton tons l ml liter liters litre litres gallon gallons s sec second seconds min minute minutes h hour "
          "hours day days week weeks month months year years percent degree degrees dollar dollars euro euros cent cents usd "
          "eur kmh mph watt watts kw volt volts byte bytes kb mb gb tb hz khz mhz ghz").split()
+# Diagonals that are counted together: shifts up to half of it apart always are.
+BAND = 16
 
 
 def words(text: Column) -> Column:
@@ -62,6 +66,30 @@ def template(tokens: Column) -> Column:
     return F.transform(F.array(tokens), of)[0]
 
 
+def _joined(t: Column, i: Column) -> Column:
+    """Whether template token ``i`` goes on with the run before it."""
+    return F.get(t, i).isin(NUM, NAME) & F.get(t, i - 1).eqNullSafe(F.get(t, i))
+
+
+def run_template(tokens: Column) -> Column:
+    """The template with one placeholder for a run of names or of numbers."""
+    return F.transform(F.array(template(tokens)), lambda t: F.filter(t, lambda x, i: ~_joined(t, i)))[0]
+
+
+def run_values(tokens: Column) -> Column:
+    """The words of each token of ``run_template``, joined by blanks."""
+    def starts(x: Column) -> Column:
+        places = F.transform(x["t"], lambda _, i: i)
+        return F.struct(x["w"].alias("w"), F.filter(places, lambda i: ~_joined(x["t"], i)).alias("s"))
+
+    def values(x: Column) -> Column:
+        length = lambda at, n: F.coalesce(F.get(x["s"], n + 1), F.size(x["w"])) - at
+        return F.transform(x["s"], lambda at, n: F.array_join(F.slice(x["w"], at + 1, length(at, n)), " "))
+
+    both = F.array(F.struct(tokens.alias("w"), template(tokens).alias("t")))
+    return F.transform(F.transform(both, starts), values)[0]
+
+
 def _windows(tokens: Column, length: int) -> Column:
     """Hash of every window."""
     def of(t: Column) -> Column:
@@ -74,35 +102,44 @@ def _windows(tokens: Column, length: int) -> Column:
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = 6, share: float = 0.5, agreement: float = 0.8) -> DataFrame:
     """doc_id, k, item_id, shift, n_windows, n_hit, coverage, n_slots, n_agree, n_changed,
     consistent and kind (verbatim or changed) of every document and item that share
-    at least ``share`` of the item's windows on one diagonal."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text").cast("string")).alias("bw"))
-    items = items.select("item_id", "bw", template(F.col("bw")).alias("bt")).where(F.size("bw") > 0)
-    items = items.withColumns({"item": F.monotonically_increasing_id(), "length": F.least(F.size("bw"), F.lit(window))})
+    at least ``share`` of the item's windows on neighbouring diagonals; ``shift`` is the
+    one with most of them, in tokens of the template."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text").cast("string")).alias("w"))
+    items = items.where(F.size("w") > 0).select("item_id", "w", run_values(F.col("w")).alias("bw"), run_template(F.col("w")).alias("bt"))
+    items = items.withColumns({"item": F.monotonically_increasing_id(), "length": F.least(F.size("bt"), F.lit(window))})
     items = stage(items, "benchmark-items")
     lengths = [row["length"] for row in items.df.select("length").distinct().collect()]  # at most ``window``
     literal = F.size(F.filter(F.slice("bt", F.col("at") + 1, F.col("length")), lambda t: ~t.startswith("<")))
+    # In an item shorter than a window every word of a run counts.
+    of_words = F.when(F.col("length") < window, F.size("w")).otherwise(F.col("length"))
     of_items = [
-        items.df.where(F.col("length") == n).select("item", "bt", "length", F.posexplode(_windows(F.col("bt"), n)).alias("at", "hash"))
-        for n in lengths
+        items.df.where(F.col("length") == n).select("item", "w", "bt", "length", F.posexplode(_windows(F.col("bt"), n)).alias("at", "hash"))
+        for n in lengths or [window]
     ]
-    if not of_items:
-        of_items = [items.df.select("item", "bt", "length", F.posexplode(_windows(F.col("bt"), window)).alias("at", "hash"))]
     known = of_items[0]
     for more in of_items[1:]:
         known = known.unionByName(more)
-    known = stage(known.where(literal * 2 >= F.col("length")).select("item", "at", "hash"), "benchmark-windows")
+    known = stage(known.where(literal * 2 >= of_words).select("item", "at", "hash"), "benchmark-windows")
     sizes = stage(known.df.groupBy("item").agg(F.count(F.lit(1)).alias("n_windows")), "benchmark-sizes")
 
     texts = keyed(docs)
-    tokens = texts.select("doc_id", "k", template(words(F.col("text"))).alias("t"))
+    tokens = texts.select("doc_id", "k", run_template(words(F.col("text"))).alias("t"))
     hits = None
     for n in lengths or [window]:
         here = tokens.select("doc_id", "k", F.posexplode(_windows(F.col("t"), n)).alias("pos", "hash"))
         here = here.join(known.side(), "hash").select("doc_id", "k", "item", (F.col("pos") - F.col("at")).alias("shift"), "at")
         hits = here if hits is None else hits.unionByName(here)
-    counted = hits.groupBy("doc_id", "k", "item", "shift").agg(F.count_distinct("at").alias("n_hit"))
-    near = stage(counted.join(sizes.side(), "item").where(F.col("n_hit") >= share * F.col("n_windows")), "aligned")
-
+    # At most the item's windows on each of BAND diagonals are collected.
+    lines = hits.groupBy("doc_id", "k", "item", "shift").agg(F.collect_set("at").alias("ats"))
+    bands = F.array(F.floor(F.col("shift") / BAND) * 2, F.floor((F.col("shift") + BAND // 2) / BAND) * 2 + 1)
+    lines = lines.withColumn("band", F.explode(bands)).withColumn("line", F.struct("shift", "ats"))
+    counted = lines.groupBy("doc_id", "k", "item", "band").agg(
+        F.collect_list("line").alias("lines"), F.max_by("shift", F.struct(F.size("ats"), -F.col("shift"))).alias("shift"))
+    counted = counted.withColumn("n_hit", F.size(F.array_distinct(F.flatten(F.col("lines.ats")))))
+    counted = counted.join(sizes.side(), "item").where(F.col("n_hit") >= share * F.col("n_windows"))
+    # Both bands that hold a diagonal find it.
+    best = counted.groupBy("doc_id", "k", "item", "shift").agg(F.max_by(F.struct("n_hit", "n_windows", "lines"), "n_hit").alias("b"))
+    near = stage(best.select("doc_id", "k", "item", "shift", "b.*"), "aligned")
     return _side_by_side(texts, near, items, agreement)
 
 
@@ -110,20 +147,42 @@ def _side_by_side(texts: DataFrame, near: Staged, items: Staged, agreement: floa
     found = near.df.select(F.col("doc_id").alias("_doc"), F.col("k").alias("_k")).distinct()
     found = stage(found, "aligned-documents")
     chosen = texts.join(found.side(), F.expr("doc_id <=> _doc AND k = _k"), "left_semi").dropDuplicates(["doc_id", "k"])
-    chosen = chosen.select(F.col("doc_id").alias("_doc"), F.col("k").alias("_k"), words(F.col("text")).alias("dw"))
-    pairs = near.df.join(chosen, F.expr("doc_id <=> _doc AND k = _k")).join(items.side(items.df.drop("length")), "item")
-    pairs = pairs.withColumn("dw", F.slice("dw", F.greatest(F.col("shift"), F.lit(0)) + 1, F.size("bw")))
-    # Left of the document's first word there is nothing.
-    pairs = pairs.withColumn("dw", F.concat(F.array_repeat(F.lit(None).cast("string"), -F.least(F.col("shift"), F.lit(0))), "dw"))
-    pairs = pairs.withColumn("dt", template(F.col("dw")))
-    slots = F.filter(
-        F.arrays_zip("bt", "bw", "dt", "dw"), lambda x: (x["bt"] == x["dt"]) & x["bt"].isin(NUM, UNIT, NAME))
-    pairs = pairs.withColumn("slots", F.transform(slots, lambda x: F.struct(x["bt"].alias("t"), x["bw"].alias("b"), x["dw"].alias("d"))))
-    values = F.array_distinct(F.transform("slots", lambda x: F.struct(x["t"], x["b"])))
+    own = words(F.col("text"))
+    chosen = chosen.select(F.col("doc_id").alias("_doc"), F.col("k").alias("_k"), run_values(own).alias("dw"), run_template(own).alias("dt"))
+    pairs = near.df.join(chosen, F.expr("doc_id <=> _doc AND k = _k")).join(items.side(items.df.drop("w")), "item")
+
+    def shift_at(place: Column) -> Column:
+        """The diagonal of the window that is nearest to a place of the item."""
+        def distance(at: Column) -> Column:
+            return F.greatest(F.lit(0), at - place, place - at - F.col("length") + 1)
+
+        nearest = F.transform("lines", lambda x: F.struct(
+            F.array_min(F.transform(x["ats"], distance)).alias("far"), F.abs(x["shift"] - F.col("shift")).alias("off"), x["shift"].alias("shift")))
+        return F.array_min(nearest)["shift"]
+
+    def slot(b: Column, i: Column) -> Column:
+        return F.struct(b.alias("t"), F.get("bw", i).alias("b"), (i + shift_at(i)).alias("place"), (i == 0).alias("first"),
+                        (i == F.size("bt") - 1).alias("last"))
+
+    slots = F.filter(F.transform("bt", slot), lambda x: x["t"].isin(NUM, UNIT, NAME) & (F.get("dt", x["place"]) == x["t"]))
+
+    def laid(x: Column) -> Column:
+        d = F.get("dw", x["place"])
+        # The document's run may start before the item, or end after it.
+        d = F.when(x["first"] & d.endswith(F.concat(F.lit(" "), x["b"])) | x["last"] & d.startswith(F.concat(x["b"], F.lit(" "))), x["b"]).otherwise(d)
+        return F.struct(x["t"], x["b"], d.alias("d"), x["first"], x["last"])
+
+    pairs = pairs.withColumn("slots", F.transform(slots, laid))
+    values = F.array_distinct(F.transform("slots", lambda x: F.struct(x["t"].alias("t"), x["b"].alias("b"))))
 
     def largest(value: Column) -> Column:
         mine = F.filter("slots", lambda x: (x["t"] == value["t"]) & (x["b"] == value["b"]))
-        return F.array_max(F.transform(mine, lambda one: F.size(F.filter(mine, lambda other: other["d"] == one["d"]))))
+
+        def same(one: Column, other: Column) -> Column:
+            return ((other["d"] == one["d"]) | other["first"] & other["d"].endswith(F.concat(F.lit(" "), one["d"]))
+                    | other["last"] & other["d"].startswith(F.concat(one["d"], F.lit(" "))))
+
+        return F.array_max(F.transform(mine, lambda one: F.size(F.filter(mine, lambda other: same(one, other)))))
 
     agree = F.aggregate(values, F.lit(0), lambda total, value: total + largest(value))
     n_slots = F.size("slots")

@@ -161,6 +161,18 @@ def test_leaks_verbatim_reparameterised_and_inconsistent(spark, benchmark):
     assert sorted(r["doc_id"] for r in templates.clean(docs, benchmark).collect()) == [3, 4, 6]
 
 
+def test_leaks_with_values_of_other_word_counts_and_words_put_in(spark, benchmark):
+    docs = spark.createDataFrame([
+        (1, "then " + ITEM.replace("Alice Smith", "Bob")), (2, ITEM.replace("Alice Smith", "Anna Maria de Lee")),
+        (3, ITEM.replace("then Alice", "then suddenly Alice")), (4, ITEM.replace("flour", "rye flour")),
+        (5, ITEM.replace("apples and", "and")), (6, "Yesterday " + ITEM.replace("Alice Smith", "Bob Van Ness")),
+        (7, "Yesterday " + ITEM), (8, ITEM.replace("Alice Smith", "Bob", 1).replace("12", "9", 1)),
+    ], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["consistent"], r["kind"]) for r in templates.matches(docs, benchmark).collect()}
+    assert {k for k, (consistent, _) in got.items() if consistent} == {(i, 1) for i in (1, 3, 4, 5, 6, 7)}
+    assert got[7, 1] == (True, "verbatim") and got[1, 1] == got[6, 1] == (True, "changed") and got[8, 1] == (False, "changed")
+
+
 def test_leaks_like_plain_search(sf):
     docs, items = sf("documents"), sf("benchmark")
     found = {(r["doc_id"], r["item_id"]) for r in templates.matches(docs, items).where("consistent").collect()}
