@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from factloom.llm import (
     ann,
     bbit,
+    divergence,
     hilbert,
     langid,
     licenses,
@@ -87,10 +88,16 @@ def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(_table(spark, sf_dir, "documents"), tokenizer_path(), 1024), 1024)
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every source of a language: how far each other source is, and the terms it uses more."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (op1_license_scan, op2_hilbert_shards, op3_learned_partitions, op4_template_leaks, op5_repeated_windows,
-              op6_token_counts, op7_url_filter, op8_bbit_minhash, op9_language_id, op10_swap_packing)
+              op6_token_counts, op7_url_filter, op8_bbit_minhash, op9_language_id, op10_swap_packing,
+              op13_source_divergence)
 }
 
 SQL = {
@@ -112,4 +119,38 @@ SQL = {
         SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN host = '' THEN 'block' ELSE 'allow' END) AS verdict
         FROM parts LEFT JOIN best USING (page_id)
     """,
+    "op13_source_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+            FROM documents),
+        words AS (SELECT d, lang, source, unnest(words) AS term FROM docs),
+        kept AS (SELECT lang, term, count(*) AS lang_n FROM words GROUP BY ALL HAVING count(DISTINCT d) >= 10),
+        groups AS (SELECT DISTINCT lang, source FROM docs),
+        counted AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        filled AS (
+            SELECT lang, source, term, lang_n, coalesce(n, 0) AS n
+            FROM groups JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)),
+        sums AS (
+            SELECT *, sum(n) OVER (PARTITION BY lang, source)::hugeint AS total, count(*) OVER (PARTITION BY lang, source) AS v,
+                   sum(n) OVER (PARTITION BY lang)::hugeint AS lang_total
+            FROM filled),
+        shares AS (
+            SELECT lang, source, term, n, 1 + 1000000000 * (n + 2)::hugeint // (total + 2 * v) AS p,
+                   1 + 1000000000 * (lang_n + 2)::hugeint // (lang_total + 2 * v) AS q
+            FROM sums),
+        pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::bigint AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        parts AS (
+            SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(value, 0) AS value
+            FROM groups g JOIN groups o ON g.lang = o.lang AND g.source <> o.source
+            LEFT JOIN pairs ON pairs.lang = g.lang AND pairs.source = g.source AND pairs.item = o.source
+            UNION ALL
+            SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint FROM shares WHERE n > 0 AND p > q),
+        ranked AS (
+            SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::int AS rank FROM parts)
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+    """,
 }
