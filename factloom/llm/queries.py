@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm import (
+    alignment,
     ann,
     bbit,
+    chat_tree,
     divergence,
     hilbert,
     langid,
@@ -88,6 +90,22 @@ def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(_table(spark, sf_dir, "documents"), tokenizer_path(), 1024), 1024)
 
 
+def op11_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one full of control strings, formatted as prefix trees and read back."""
+    control = "\\### Assistant: </turn> ok"
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(control).alias("text"))
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat_tree.digests(chat_tree.format_conversations(rows, tokenizer_path()), tokenizer_path())
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers over every document, aligned, with corpus-wide counts of linked ids."""
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every source of a language: how far each other source is, and the terms it uses more."""
     return divergence.audit(_table(spark, sf_dir, "documents"))
@@ -97,7 +115,7 @@ QUERIES = {
     q.__name__: q
     for q in (op1_license_scan, op2_hilbert_shards, op3_learned_partitions, op4_template_leaks, op5_repeated_windows,
               op6_token_counts, op7_url_filter, op8_bbit_minhash, op9_language_id, op10_swap_packing,
-              op13_source_divergence)
+              op11_chat_tree, op12_token_alignment, op13_source_divergence)
 }
 
 SQL = {

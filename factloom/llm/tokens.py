@@ -19,7 +19,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
 LONG_RUN = re.compile(r"\s\s\s|\s\s\Z")
 
 
-def _ranks(path: str) -> dict[bytes, int]:
+def ranks(path: str) -> dict[bytes, int]:
     """Ids by bytes. The file writes a byte that does not print as a letter from 256 on."""
     prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
     letters = {chr(b): b for b in prints}
@@ -38,7 +38,7 @@ class Encoder:
 
         self.slow = Tokenizer.from_file(path)
         self.slow.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.fast = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=_ranks(path), special_tokens={})
+        self.fast = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks(path), special_tokens={})
 
     def encode(self, text: str | None) -> list[int]:
         """The ids of a whole text; none for NULL or an empty one."""
