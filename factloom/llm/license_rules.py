@@ -1,7 +1,7 @@
 """Signature rules for licence texts.
 
 Patterns are matched on the words of a text, lower-case and joined by one blank, so
-``2.0`` reads ``2 0``. Each rule has a keyword, a stretch that every match holds.
+``2.0`` reads ``2 0``. Each rule has keywords, and every match holds one of them.
 """
 
 from __future__ import annotations
@@ -17,10 +17,15 @@ class Rule:
     pattern: str
     base: bool = False
 
+    @property
+    def keywords(self) -> tuple[str, ...]:
+        """The stretches of which every match holds one; ``keyword`` names them between slashes."""
+        return tuple(self.keyword.split(" / "))
 
-# Label | SPDX words | keyword of the name | pattern of the name | page, as words.
+
+# Label | SPDX words | keywords of the name | pattern of the name | page, as words.
 LICENCES = """
-mit | mit | mit | (?:expat|mit(?: x11| expat)?)(?: open source)? licen[cs]e | opensource org licenses? mit
+mit | mit | mit / expat | (?:expat|mit(?: x11| expat)?)(?: open source)? licen[cs]e | opensource org licenses? mit
 mit-0 | mit 0 | mit | mit(?: no attribution| 0)(?: licen[cs]e)? | opensource org licenses? mit 0
 apache-2.0 | apache 2 0 | apache | apache(?: software)? licen[cs]e(?: version| v)? 2(?: 0)? | apache org licenses license 2 0
 apache-1.1 | apache 1 1 | apache | apache(?: software)? licen[cs]e(?: version| v)? 1 1 | apache org licenses license 1 1
@@ -32,7 +37,7 @@ bsd | bsd | bsd | bsd(?: style| type)? licen[cs]e | opensource org licenses? bsd
 0bsd | 0bsd | bsd | (?:0bsd|zero clause bsd|bsd zero clause)(?: licen[cs]e)? | opensource org licenses? 0bsd
 isc | isc | isc | isc licen[cs]e | opensource org licenses? isc
 zlib | zlib | zlib | zlib(?: libpng)? licen[cs]e | opensource org licenses? zlib
-libpng | libpng | libpng | (?:libpng|png reference library) licen[cs]e | www libpng org pub png src libpng license
+libpng | libpng | libpng / png reference library | (?:libpng|png reference library) licen[cs]e | www libpng org pub png src libpng license
 boost-1.0 | bsl 1 0 | boost | boost software licen[cs]e(?: version)?(?: 1 0)? | www boost org license 1 0
 unlicense | unlicense | unlicense | (?:the )?unlicense | unlicense org
 wtfpl | wtfpl | wtfpl | wtfpl(?: version 2)? | www wtfpl net
@@ -91,8 +96,8 @@ odbl-1.0 | odbl 1 0 | open database | open database license(?: odbl)?(?: version
 odc-by | odc by(?: 1 0)? | attribution license | open data commons attribution license(?: odc by)?(?: version| v)?(?: 1 0)? | opendatacommons org licenses by
 pddl-1.0 | pddl 1 0 | public domain dedication | (?:open data commons )?public domain dedication and license(?: pddl)? | opendatacommons org licenses pddl
 ogl-uk | ogl uk(?: [1-3] 0)? | open government | open government licen[cs]e(?: version| v)?(?: [1-3](?: 0)?)? | nationalarchives gov uk doc open government licence
-openrail | openrail | openrail | (?:creativeml |bigscience |bigcode )?open ?rail(?: m| plus plus m)?(?: licen[cs]e)? | www licenses ai ai licenses
-llgpl | llgpl | llgpl | (?:lisp lesser general public license|llgpl) | opensource franz com preamble
+openrail | openrail | openrail / open rail | (?:creativeml |bigscience |bigcode )?open ?rail(?: m| plus plus m)?(?: licen[cs]e)? | www licenses ai ai licenses
+llgpl | llgpl | llgpl / lisp lesser | (?:lisp lesser general public license|llgpl) | opensource franz com preamble
 vim | vim | vim | vim licen[cs]e | vimdoc sourceforge net htmldoc uganda
 ruby | ruby | ruby | ruby licen[cs]e | www ruby lang org en about license
 curl | curl | curl | curl licen[cs]e | curl se docs copyright

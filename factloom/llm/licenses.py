@@ -53,7 +53,8 @@ class Scanner:
         self.patterns = [re.compile(rf"(?:(?<= )|\A)(?:{rule.pattern})(?= |\Z)") for rule in signatures]
         gates: dict[str, list[int]] = {}
         for order, rule in enumerate(signatures):
-            gates.setdefault(rule.keyword, []).append(order)
+            for keyword in rule.keywords:
+                gates.setdefault(keyword, []).append(order)
         self.gates = ahocorasick.Automaton()
         for keyword, orders in gates.items():
             self.gates.add_word(keyword, orders)
@@ -63,7 +64,7 @@ class Scanner:
         return text.translate(WORD_BYTES).split() if text else []
 
     def detections(self, words: list[bytes]) -> list[Detection]:
-        """Every match of every rule whose keyword is there."""
+        """Every match of every rule of which a keyword is there."""
         plain = b" ".join(words).decode("latin-1")
         gated = {order for _, orders in self.gates.iter(plain) for order in orders}
         if not gated:

@@ -4,7 +4,7 @@ import re
 import zlib
 from bisect import bisect_right
 from collections import Counter
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pytest
@@ -42,10 +42,65 @@ def test_licences_like_plain_search(which, sf, nasty, nothing):
         assert 0 <= r["score"] <= 1 and set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(","))
 
 
-def test_every_rule_compiles_and_needs_its_keyword():
+def samples(tree):
+    """A text for every choice that a pattern leaves."""
+    parts = []
+    for kind, value in tree:
+        if kind is re._constants.LITERAL:
+            parts.append([chr(value)])
+        elif kind is re._constants.BRANCH:
+            parts.append([text for branch in value[1] for text in samples(branch)])
+        elif kind is re._constants.SUBPATTERN:
+            parts.append(list(samples(value[3])))
+        elif kind is re._constants.MAX_REPEAT:
+            parts.append(["x" * value[0]] if value[1] > 1 else ["", *samples(value[2])])
+        elif kind is re._constants.IN:
+            parts.append([chr(x if a is re._constants.LITERAL else x[0]) for a, x in value])
+        else:
+            raise ValueError(kind)
+    return ("".join(choice) for choice in product(*parts))
+
+
+def test_every_alternative_of_every_rule_matches_and_opens_its_gate():
     assert len(rules()) > 300
     for rule in rules():
-        re.compile(rule.pattern)
+        pattern = re.compile(rule.pattern)
+        for text in samples(re._parser.parse(rule.pattern)):
+            assert pattern.fullmatch(text) and any(word in text for word in rule.keywords), (rule, text)
+
+
+@pytest.mark.parametrize("text,label", [
+    ("expat license", "mit"), ("released under the expat license", "mit"), ("png reference library license", "libpng"),
+    ("creativeml open rail license", "openrail"), ("open rail m", "openrail"), ("lisp lesser general public license", "llgpl")])
+def test_names_without_the_short_word_are_found(text, label):
+    tool = licenses.scanner(rules())
+    assert label in {d.label for d in tool.detections(tool.words(text.encode()))}
+
+
+def plain_labels(text):
+    """All rules without a gate; what lies inside a detection of higher rank goes."""
+    words = (text or "").encode().translate(licenses.WORD_BYTES).split()
+    joined, found = b" ".join(words).decode("latin-1"), []
+    for order, rule in enumerate(rules()):
+        for m in re.finditer(rf"(?:(?<= )|\A)(?:{rule.pattern})(?= |\Z)", joined):
+            first = joined[:m.start()].count(" ")
+            found.append((-rule.priority, -(len(m[0].split())), first, order, first + len(m[0].split()), rule.label, rule.base))
+    kept = []
+    for d in sorted(found):
+        if not any(k[2] <= d[2] and d[4] <= k[4] for k in kept):
+            kept.append(d)
+    labels = {d[5] for d in kept} | {d[5] for d in found if d[6]}
+    return ",".join(sorted(labels)), max((-d[0] for d in kept), default=0) / max(rule.priority for rule in rules())
+
+
+def test_labels_and_scores_like_all_rules_without_gates(spark, sf):
+    texts = [r["text"] for r in sf("documents").select("text").limit(60).collect()]
+    texts += [f"{a} and {b}, Copyright (c) 2020 of it" for a, b in combinations(
+        ["Expat License", "GNU Lesser General Public License version 2.1", "licensed under the MIT license", "All Rights Reserved",
+         "CC-BY-NC 4.0", "SPDX-License-Identifier: Apache-2.0", "see the license file", "public domain"], 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(docs).collect()}
+    assert got == {i: plain_labels(text) for i, text in enumerate(texts)}
 
 
 def test_a_detection_inside_one_of_higher_rank_is_suppressed(spark):
