@@ -10,14 +10,12 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from factloom.llm import bbit, langid, packing, substrings, templates  # noqa: E402
 from factloom.llm.queries import tokenizer_path  # noqa: E402
-from factloom.llm.texts import text_key  # noqa: E402
-from factloom.sources.staging import scratch_path, stage  # noqa: E402
+from factloom.sources.staging import scratch_path  # noqa: E402
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,20 +26,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate class: the one with the smallest doc_id.
     Of equal rows one stays."""
-    found = bbit.near_duplicates(docs)
-    # A row without an id stands for itself only if its class has no row with one.
-    stays = F.col("kept") | F.col("doc_id").isNull() & F.col("component_id").isNull()
-    stays = found.where(stays).groupBy(F.col("doc_id").alias("_fl_doc"), F.col("component_id").alias("_fl_c"),
-                                       F.when(F.col("component_id").isNull() | (F.col("n_shingles") == 0), F.col("k")).alias("_fl_e"))
-    stays = stays.agg(F.min("k").alias("_fl_k"), F.count(F.lit(1)).alias("_fl_n")).drop("_fl_c", "_fl_e")
-    stays = stage(stays, "kept", metrics={"several": F.count_if(F.col("_fl_n") > 1)})
-    with_key = docs.withColumn("_fl_key", text_key(F.col("text").cast("string")))
-    same = F.expr("CAST(doc_id AS BIGINT) <=> _fl_doc AND _fl_key = _fl_k")
-    single = with_key.join(stays.side(stays.df.where("_fl_n = 1").drop("_fl_n")), same, "left_semi")
-    if stays.metrics["several"]:
-        several = with_key.join(stays.side(stays.df.where("_fl_n > 1").drop("_fl_n")), same, "left_semi")
-        single = single.unionByName(several.dropDuplicates(["doc_id", "_fl_key"]))
-    return single.drop("_fl_key")
+    return bbit.keep_first(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

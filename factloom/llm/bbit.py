@@ -21,13 +21,13 @@ Defined cases: a NULL or empty text has an empty set and is linked with nothing.
 text with fewer words than a shingle is one shingle as a whole. Rows with equal
 doc_id are in the classes of their texts. The class is named by its smallest
 doc_id that is not NULL, and a row without doc_id is never the one that is kept.
-An empty table gives no rows. Other columns are not read.
+Very long texts are read whole, in batches of their own. An empty table gives no
+rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.components import components
-from factloom.llm.texts import column, column_bytes, keyed, mix, shingles, small_batches
+from factloom.llm.texts import column, column_bytes, forgetful, fresh, keyed, mix, shingles, small_batches, text_key
 from factloom.sources.staging import Staged, stage
 
 HASHES, ROWS, BITS = 128, 4, 4
@@ -45,6 +45,8 @@ WORDS = HASHES // PER_WORD
 # Standard errors below the threshold at which a candidate is still compared in full.
 SPARE = 5
 CHUNK = 1 << 18
+# Members that are compared with one copy of their leader's text.
+GROUP = 256
 # Places in which shingles are counted for their order.
 SKETCH = 1 << 20
 _random = np.random.default_rng(20240607)
@@ -55,6 +57,7 @@ SHIFTS = _random.integers(0, 1 << 63, HASHES, np.uint64)
 def signatures(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, k, n_shingles, fp (of the whole set), packed low bits, and band hashes."""
 
+    @forgetful
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = column(batch, "doc_id"), column(batch, "k")
@@ -217,8 +220,10 @@ def _rest(docs: DataFrame, nodes: DataFrame, open_vertices: Staged, size: int, p
     its own size; for the smaller one, percent of the mean size and more.
     """
     spark = docs.sparkSession
-    texts = _texts(docs, nodes, open_vertices.df.select("v")).join(open_vertices.side(), "v")
+    texts = _texts(docs, nodes, open_vertices.df.select("v")).dropDuplicates(["v"])
+    texts = stage(texts, "open-texts").df.join(open_vertices.side(), "v")
 
+    @forgetful
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(SKETCH, np.int64)
         for batch in batches:
@@ -234,6 +239,7 @@ def _rest(docs: DataFrame, nodes: DataFrame, open_vertices: Staged, size: int, p
     often[got.column("place").to_numpy()] = got.column("n").to_numpy()
     sent = spark.sparkContext.broadcast(often)
 
+    @forgetful
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for v, c, text in zip(column(batch, "v").to_pylist(), column(batch, "c").to_pylist(), column_bytes(batch, "text")):
@@ -274,27 +280,56 @@ def _confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, per
     pairs = stage(pairs.select("v", "w"), "candidates")
     if not pairs.rows:
         return stage(pairs.df.select(F.col("v").alias("a"), F.col("w").alias("b")), "links")
-    ends = pairs.df.select("v").union(pairs.df.select("w")).distinct()
-    one = _texts(docs, nodes, ends)
-    other = one.select(F.col("v").alias("w"), F.col("text").alias("text_w"))
-    joined = pairs.df.join(one, "v").join(other, "w").select("v", "w", "text", "text_w")
-
+    # A leader's members are dealt to groups of bounded size; each gets the leader's text once.
+    sizes = stage(pairs.df.groupBy("w").agg(F.count(F.lit(1)).alias("m")), "leader-sizes")
+    groups = F.expr(f"CAST(m DIV {GROUP} + 1 AS INT)")
+    members = pairs.df.join(sizes.side(), "w").select("v", "w", F.pmod(F.xxhash64("v"), groups).cast("int").alias("g"))
+    heads = sizes.df.select(F.col("w").alias("v"), "w", F.explode(F.sequence(F.lit(0), groups - 1)).alias("g"))
+    placed = stage(members.unionByName(heads), "compared")
+    texts = _texts(docs, nodes, placed.df.select("v").distinct()).join(placed.side(), "v")
+    ordered = texts.repartition("w", "g").sortWithinPartitions("w", "g", F.col("v") != F.col("w"), "v")
+
+    @forgetful
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(16)
-        def known(_: int, text: bytes) -> np.ndarray:
-            return shingles(text.lower().split(), size)
-
+        leader, own, last = None, None, None
         for batch in batches:
-            vs, ws = column(batch, "v").to_pylist(), column(batch, "w").to_pylist()
             found = []
-            for v, w, a, b in zip(vs, ws, column_bytes(batch, "text"), column_bytes(batch, "text_w")):
-                left, right = known(v, a), known(w, b)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                if 100 * both >= percent * (len(left) + len(right) - both):
-                    found.append((v, w))
+            keys = zip(*(column(batch, name).to_pylist() for name in ("w", "g", "v")))
+            for (w, g, v), text in zip(keys, column_bytes(batch, "text")):
+                if (w, g, v) == last:  # a repeated row of one document
+                    continue
+                last = w, g, v
+                words = shingles(text.lower().split(), size)
+                if v == w:
+                    leader, own = (w, g), words
+                elif leader == (w, g):
+                    both = len(np.intersect1d(own, words, assume_unique=True))
+                    if 100 * both >= percent * (len(own) + len(words) - both):
+                        found.append((v, w))
             if found:
                 a, b = zip(*found)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     with small_batches(docs.sparkSession):
-        return stage(joined.mapInArrow(run, "a long, b long").distinct(), "links")
+        return stage(ordered.select("w", "g", "v", "text").mapInArrow(run, "a long, b long").distinct(), "links")
+
+
+def keep_first(docs: DataFrame, **options) -> DataFrame:
+    """The documents that ``near_duplicates`` keeps, columns as they were: of each class the one
+    with the smallest doc_id, and one of equal rows. A row without doc_id stays only if its class
+    has no row with one."""
+    doc, key, c, e, n = fresh(docs, "doc", "key", "class", "else", "rows")
+    found = near_duplicates(docs, **options)
+    stays = found.where(F.col("kept") | F.col("doc_id").isNull() & F.col("component_id").isNull())
+    apart = F.when(F.col("component_id").isNull() | (F.col("n_shingles") == 0), F.col("k"))
+    stays = stays.groupBy(F.col("doc_id").alias(doc), F.col("component_id").alias(c), apart.alias(e)).agg(
+        F.min("k").alias(key), F.count(F.lit(1)).alias(n)).drop(c, e)
+    stays = stage(stays, "kept", metrics={"several": F.count_if(F.col(n) > 1)})
+    own = fresh(docs, "own")[0]
+    with_key = docs.withColumn(own, text_key(F.col("text").cast("string")))
+    same = F.expr(f"CAST(doc_id AS BIGINT) <=> {doc} AND {own} = {key}")
+    kept = with_key.join(stays.side(stays.df.where(f"{n} = 1").drop(n)), same, "left_semi")
+    if stays.metrics["several"]:
+        several = with_key.join(stays.side(stays.df.where(f"{n} > 1").drop(n)), same, "left_semi")
+        kept = kept.unionByName(several.dropDuplicates(["doc_id", own]))
+    return kept.drop(own)

@@ -21,12 +21,11 @@ from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.texts import column
+from factloom.llm.texts import column, forgetful, keep_batches_small, small_batches
 from factloom.sources.staging import stage
 
 FEATURES = 1 << 15
@@ -93,6 +92,7 @@ def remainder():
 def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """In how many texts each place occurs, and how many texts there are."""
 
+    @forgetful
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, rows = np.zeros(FEATURES, np.int64), 0
         for batch in batches:
@@ -113,16 +113,25 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, epochs: int = 3) -> M
     """Learns from text and lang of the documents that are not held out."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder() != 0)).select(
         F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    with small_batches(docs.sparkSession):
+        return _fitted(labelled, sample_rows, epochs)
+
+
+def _fitted(labelled: DataFrame, sample_rows: int, epochs: int) -> Model:
     frequency, total = document_frequencies(labelled)
     idf = np.log((1 + total) / (1 + frequency)) + 1
     # The same number of each language at most, chosen by hash of the text.
     mark = F.xxhash64("text")
-    chosen = labelled.select("lang", mark.alias("mark")).distinct()
+    chosen = stage(labelled.select("lang", mark.alias("mark")).distinct(), "language-marks").df
+    # Hashes are even, so the first of a language lie under a bound; only some of it is ranked.
+    sizes = stage(chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("size")), "language-sizes")
+    chosen = chosen.join(sizes.side(), "lang").where((F.col("mark") / 2.0**64 + 0.5) * F.col("size") <= 4.0 * sample_rows)
     chosen = chosen.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("mark")))
     chosen = chosen.where(F.col("r") <= sample_rows)
     chosen = stage(chosen.orderBy("r", "lang").limit(sample_rows).select("lang", "mark"), "language-sample").df
     sample = labelled.withColumn("mark", mark).join(F.broadcast(chosen), ["lang", "mark"])  # at most sample_rows
 
+    @forgetful
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [ngram_counts(text.as_py()) for text in column(batch, "text")]
@@ -191,6 +200,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row; reads doc_id and text."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x FEATURES weights
 
+    @forgetful
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for batch in batches:
@@ -199,6 +209,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 [column(batch, "doc_id"), column(batch, "held_out"), pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
+    keep_batches_small(docs.sparkSession)
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder() == 0).alias("held_out"),
                           F.col("text").cast("string").alias("text"))
     return columns.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
@@ -208,9 +219,12 @@ def identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The documents whose language is known well enough, columns as they were."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def keep(texts: pd.Series) -> pd.Series:
-        found = [sent.value.predict(text) for text in texts]
-        return pd.Series([lang != UNDETERMINED and score >= least for lang, score in found], dtype=bool)
+    @forgetful
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        for batch in batches:
+            found = (own.predict(text.as_py()) for text in column(batch, "text").cast(pa.string()))
+            yield batch.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score in found], pa.bool_()))
 
-    return docs.where(keep(F.col("text").cast("string")))
+    keep_batches_small(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)

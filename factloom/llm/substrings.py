@@ -30,7 +30,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.texts import Spans, column, column_bytes, keyed, mix, small_batches, text_key, word_hashes
+from factloom.llm.texts import (
+    Spans,
+    column,
+    column_bytes,
+    forgetful,
+    fresh,
+    keep_batches_small,
+    keyed,
+    mix,
+    small_batches,
+    text_key,
+    word_hashes,
+)
 from factloom.sources.staging import Staged, stage
 
 SECOND = np.uint64(0xD6E8FEB86659FD93)
@@ -56,6 +68,7 @@ def stretches(hashes: np.ndarray, length: int) -> tuple[np.ndarray, ...] | None:
 def _first_level(docs: DataFrame, length: int) -> DataFrame:
     """(doc, k, half, whole, first, n) of every stretch."""
 
+    @forgetful
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = column(batch, "doc_id").to_pylist(), column(batch, "k").to_pylist()
@@ -118,6 +131,7 @@ def _windows(docs: DataFrame, places: Staged, length: int) -> DataFrame:
     """(w1, w2, doc, k, at) of the single windows in the given stretches."""
     chosen = keyed(docs).withColumnRenamed("doc_id", "doc").join(places.side(), ["doc", "k"]).dropDuplicates(["doc", "k"])
 
+    @forgetful
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(column(batch, "doc").to_pylist(), column(batch, "k").to_pylist(), column_bytes(batch, "text"),
@@ -171,6 +185,7 @@ def digests(docs: DataFrame, found: Staged) -> DataFrame:
     marks = found.side(found.df.select(F.col("doc").alias("_doc"), F.col("k").alias("_k"), "starts", "ends"))
     joined = keyed(docs).join(marks, F.expr("doc_id = _doc AND k = _k"), "left").select("doc_id", "text", "starts", "ends")
 
+    @forgetful
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, gone, sums = [], [], []
@@ -184,6 +199,7 @@ def digests(docs: DataFrame, found: Staged) -> DataFrame:
                  column(batch, "starts"), column(batch, "ends")],
                 names=["doc_id", "n_words", "n_removed", "kept_sha256", "starts", "ends"])
 
+    keep_batches_small(docs.sparkSession)
     return joined.mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept_sha256 string, starts array<int>, ends array<int>")
 
@@ -195,24 +211,25 @@ def cut_texts(docs: DataFrame, found: Staged) -> DataFrame:
     ``n_chars`` follows if there is such a column. A document that loses all is left
     out. All others stay as they are.
     """
-    marks = found.side(found.df.select(F.col("doc").alias("_fl_doc"), F.col("k").alias("_fl_k"),
-                                       F.col("starts").alias("_fl_starts"), F.col("ends").alias("_fl_ends")))
-    key = text_key(F.col("text").cast("string"))
-    joined = docs.withColumn("_fl_key", key).join(
-        marks, F.expr("CAST(doc_id AS BIGINT) = _fl_doc AND _fl_key = _fl_k"), "left").drop("_fl_doc", "_fl_k", "_fl_key")
-    untouched = joined.where("_fl_starts IS NULL").select(*docs.columns)
+    doc, k, key, first, last = fresh(docs, "doc", "k", "key", "starts", "ends")
+    marks = found.side(found.df.select(F.col("doc").alias(doc), F.col("k").alias(k), F.col("starts").alias(first), F.col("ends").alias(last)))
+    joined = docs.withColumn(key, text_key(F.col("text").cast("string"))).join(
+        marks, F.expr(f"CAST(doc_id AS BIGINT) = {doc} AND {key} = {k}"), "left").drop(doc, k, key)
+    untouched = joined.where(F.col(first).isNull()).drop(first, last)
     schema = docs.schema
 
+    @forgetful
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(column_bytes(batch, "text"), column(batch, "_fl_starts").to_pylist(), column(batch, "_fl_ends").to_pylist())
+            rows = zip(column_bytes(batch, "text"), column(batch, first).to_pylist(), column(batch, last).to_pylist())
             texts = [b" ".join(kept_words(text, starts, ends)[0]).decode() for text, starts, ends in rows]
             some = pa.array([bool(text) for text in texts])
             values = {"text": pa.array(texts), "n_chars": pa.array(list(map(len, texts)))}
             arrays = [values[f.name].cast(column(batch, f.name).type) if f.name in values else column(batch, f.name) for f in schema]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names).filter(some)
 
-    cut = joined.where("_fl_starts IS NOT NULL").mapInArrow(run, schema)
+    keep_batches_small(docs.sparkSession)
+    cut = joined.where(F.col(first).isNotNull()).mapInArrow(run, schema)
     return untouched.unionByName(cut)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import cache
+from functools import cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,15 @@ def keyed(docs: DataFrame) -> DataFrame:
                        text_key(F.col("text").cast("string")).alias("k"))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of our own that no column of ``df`` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    mark = "_fl"
+    while any(f"{mark}_{name}" in taken for name in names):
+        mark += "_"
+    return [f"{mark}_{name}" for name in names]
+
+
 class WordHashes(dict):
     """Word to hash; emptied when full, so that memory stays bounded."""
 
@@ -127,6 +136,26 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def keep_batches_small(spark: SparkSession) -> None:
+    """The same from now on, for frames that run after their operator has returned."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def forgetful(run):
+    """A map over batches after which its task remembers nothing: workers are used again."""
+
+    @wraps(run)
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            known_words().clear()
+            _powers.clear()
+            pa.default_memory_pool().release_unused()
+
+    return mapped
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
