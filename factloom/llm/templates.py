@@ -2,31 +2,40 @@
 
 Texts become words and numbers. Numbers, units after numbers and capitalised words
 are replaced by typed placeholders, a run of names or of numbers by a single one,
-which gives the template. Windows of template tokens are joined by hash with those
-of the benchmark. Windows that lie on neighbouring diagonals (shifts between item and
+which gives the template; particles such as ``de`` or ``van`` inside a run of names
+belong to it. Windows of template tokens are joined by hash with those of the
+benchmark. Windows that lie on neighbouring diagonals (shifts between item and
 document less than ``BAND`` apart) are counted together, so that words put in or
 left out do not part them, and where they cover enough of an item, each slot is laid
 beside the document on the diagonal of the window next to it: each value in the
 item's slots must become one and the same value in the document, wherever it stands.
-A run at an end of the item may go on in the document. That keeps re-parameterised questions, in which names and
-numbers are exchanged throughout, and drops chance agreements of templates.
+A run at an end of the item may go on in the document. That keeps re-parameterised
+questions, in which names and numbers are exchanged throughout, and drops chance
+agreements of templates.
+
+A template window with fewer literal tokens than a third of its length is no evidence.
+An item that has no other (lists of numbers, titles, names) is matched by the windows
+of its words as they are: all of them, on one diagonal. So a verbatim copy of any item
+is found. An item whose template is shorter than a window matches by one phrase; it
+counts where it makes up half of a sentence or line at least, not inside a longer one.
 
 Only matching windows are shuffled; the words of documents are not. The benchmark's
 windows are broadcast if they were measured small, and joined by shuffle otherwise.
 
-Defined cases: NULL and empty texts have no windows. An item with fewer tokens than
-a window is one window as a whole. A window with fewer literal tokens than half
-its length is no evidence and is not used, so an item without any other is never
-found. Rows with equal id and text are reported once. Empty tables give no rows.
-Other columns are not read.
+Defined cases: NULL and empty texts have no windows, and items without a word or number
+are never found. Rows with equal id and text are reported once, rows without doc_id as
+well. Very long texts are read whole, one at a time. Empty tables give no rows. Other
+columns are not read by ``matches`` and kept by ``clean``, whatever their names.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.texts import keyed, text_key
+from factloom.llm.texts import fresh, keyed, text_key
 from factloom.sources.staging import Staged, stage
 
 TOKEN = r"[0-9][0-9.,]*|\p{L}[\p{L}\p{M}]*"
@@ -36,6 +45,11 @@ UNITS = ("mm cm m km inch inches foot feet ft yard yards mile miles g kg mg gram
          "ounce ounces oz ton tons l ml liter liters litre litres gallon gallons s sec second seconds min minute minutes h hour "
          "hours day days week weeks month months year years percent degree degrees dollar dollars euro euros cent cents usd "
          "eur kmh mph watt watts kw volt volts byte bytes kb mb gb tb hz khz mhz ghz").split()
+# Words that may stand inside a name.
+PARTICLES = "de da do dos das di del della der den des du la le van von und y bin ibn al ten ter zu zur".split()
+LONGEST_PARTICLE = max(map(len, PARTICLES))
+# Where sentences and lines end.
+SENTENCE_END = r"[.!?;](?=\s|$)|[\r\n]+"
 # Diagonals that are counted together: shifts up to half of it apart always are.
 BAND = 16
 
@@ -51,12 +65,23 @@ def _first(word: Column) -> Column:
 def template(tokens: Column) -> Column:
     """Tokens with typed placeholders."""
     def of(all_tokens: Column) -> Column:
+        def is_name(i: Column) -> Column:
+            first = _first(F.get(all_tokens, i))
+            return F.coalesce(first != F.lower(first), F.lit(False))
+
+        def is_particle(i: Column) -> Column:
+            return F.coalesce(F.get(all_tokens, i).isin(PARTICLES), F.lit(False))
+
         def one(word: Column, i: Column) -> Column:
             before = _first(F.get(all_tokens, i - 1))
+            # One particle or two between two names.
+            inside = (is_name(i - 1) & (is_name(i + 1) | is_particle(i + 1) & is_name(i + 2))
+                      | is_particle(i - 1) & is_name(i - 2) & is_name(i + 1))
             return (
                 F.when(_first(word).between("0", "9"), NUM)
                 .when(before.between("0", "9") & F.lower(word).isin(UNITS), UNIT)
                 .when(_first(word) != F.lower(_first(word)), NAME)
+                .when((F.length(word) <= LONGEST_PARTICLE) & word.isin(PARTICLES) & inside, NAME)
                 .otherwise(word)
             )
 
@@ -103,32 +128,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 6, share: float
     """doc_id, k, item_id, shift, n_windows, n_hit, coverage, n_slots, n_agree, n_changed,
     consistent and kind (verbatim or changed) of every document and item that share
     at least ``share`` of the item's windows on neighbouring diagonals; ``shift`` is the
-    one with most of them, in tokens of the template."""
+    one with most of them, in tokens of the template (in words, for items that are
+    matched as they are: these have no slots)."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text").cast("string")).alias("w"))
     items = items.where(F.size("w") > 0).select("item_id", "w", run_values(F.col("w")).alias("bw"), run_template(F.col("w")).alias("bt"))
-    items = items.withColumns({"item": F.monotonically_increasing_id(), "length": F.least(F.size("bt"), F.lit(window))})
-    items = stage(items, "benchmark-items")
-    lengths = [row["length"] for row in items.df.select("length").distinct().collect()]  # at most ``window``
+    items = items.withColumns({"item": F.monotonically_increasing_id(), "length": F.least(F.size("bt"), F.lit(window)),
+                               "short": F.size("bt") < window})
+    items = stage(items, "benchmark-items", metrics={"shorts": F.count_if("short")})
     literal = F.size(F.filter(F.slice("bt", F.col("at") + 1, F.col("length")), lambda t: ~t.startswith("<")))
     # In an item shorter than a window every word of a run counts.
-    of_words = F.when(F.col("length") < window, F.size("w")).otherwise(F.col("length"))
-    of_items = [
-        items.df.where(F.col("length") == n).select("item", "w", "bt", "length", F.posexplode(_windows(F.col("bt"), n)).alias("at", "hash"))
-        for n in lengths or [window]
-    ]
-    known = of_items[0]
-    for more in of_items[1:]:
-        known = known.unionByName(more)
-    known = stage(known.where(literal * 2 >= of_words).select("item", "at", "hash"), "benchmark-windows")
+    of_words = F.when(F.col("short"), F.size("w")).otherwise(F.col("length"))
+    known = _benchmark_windows(items.df, "bt", window).where(literal * 3 >= of_words)
+    known = stage(known.select("item", "at", "hash", "length"), "benchmark-windows")
     sizes = stage(known.df.groupBy("item").agg(F.count(F.lit(1)).alias("n_windows")), "benchmark-sizes")
 
     texts = keyed(docs)
-    tokens = texts.select("doc_id", "k", run_template(words(F.col("text"))).alias("t"))
-    hits = None
-    for n in lengths or [window]:
-        here = tokens.select("doc_id", "k", F.posexplode(_windows(F.col("t"), n)).alias("pos", "hash"))
-        here = here.join(known.side(), "hash").select("doc_id", "k", "item", (F.col("pos") - F.col("at")).alias("shift"), "at")
-        hits = here if hits is None else hits.unionByName(here)
+    hits = _hits(texts.select("doc_id", "k", run_template(words(F.col("text"))).alias("t")), known)
     # At most the item's windows on each of BAND diagonals are collected.
     lines = hits.groupBy("doc_id", "k", "item", "shift").agg(F.collect_set("at").alias("ats"))
     bands = F.array(F.floor(F.col("shift") / BAND) * 2, F.floor((F.col("shift") + BAND // 2) / BAND) * 2 + 1)
@@ -140,7 +155,69 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 6, share: float
     # Both bands that hold a diagonal find it.
     best = counted.groupBy("doc_id", "k", "item", "shift").agg(F.max_by(F.struct("n_hit", "n_windows", "lines"), "n_hit").alias("b"))
     near = stage(best.select("doc_id", "k", "item", "shift", "b.*"), "aligned")
-    return _side_by_side(texts, near, items, agreement)
+    found = _side_by_side(texts, near, items, agreement)
+    plain = stage(items.df.join(sizes.side(), "item", "left_anti").withColumn("length", F.least(F.size("w"), F.lit(window))), "items-as-they-are")
+    return found.unionByName(_as_they_are(texts, plain, window)) if plain.rows else found
+
+
+def _benchmark_windows(items: DataFrame, tokens: str, window: int) -> DataFrame:
+    """The items' columns with ``at`` and ``hash`` of each window; a shorter item is one as a whole."""
+    lengths = [row["length"] for row in items.select("length").distinct().collect()]  # at most ``window``
+    parts = [items.where(F.col("length") == n).select("*", F.posexplode(_windows(F.col(tokens), n)).alias("at", "hash"))
+             for n in lengths or [window]]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _hits(tokens: DataFrame, known: Staged) -> DataFrame:
+    """(doc_id, k, item, shift, at) of every window of the documents' tokens ``t`` that an item has."""
+    lengths = [row["length"] for row in known.df.select("length").distinct().collect()]
+    parts = []
+    for n in lengths or [1]:
+        here = tokens.select("doc_id", "k", F.posexplode(_windows(F.col("t"), n)).alias("pos", "hash"))
+        parts.append(here.join(known.side(known.df.where(F.col("length") == n).drop("length")), "hash").select(
+            "doc_id", "k", "item", (F.col("pos") - F.col("at")).alias("shift"), "at"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _as_they_are(texts: DataFrame, items: Staged, window: int) -> DataFrame:
+    """Documents that hold all windows of an item's words in a row. The first place is reported."""
+    known = stage(_benchmark_windows(items.df, "w", window).select("item", "at", "hash", "length"), "word-windows")
+    sizes = stage(known.df.groupBy("item").agg(F.count(F.lit(1)).alias("n_windows")), "word-sizes")
+    hits = _hits(texts.select("doc_id", "k", words(F.col("text")).alias("t")), known)
+    lines = hits.groupBy("doc_id", "k", "item", "shift").agg(F.count_distinct("at").alias("n_hit"))
+    full = lines.join(sizes.side(), "item").where("n_hit = n_windows")
+    full = full.groupBy("doc_id", "k", "item", "n_windows").agg(F.min("shift").alias("shift"))
+    chosen = items.df.select("item", "item_id", (F.size("w") < window).alias("short"), F.array_join("w", " ").alias("phrase"), F.size("w").alias("n"))
+    near = stage(full.join(items.side(chosen), "item"), "held-as-they-are", metrics={"shorts": F.count_if("short")})
+    found = near.df.withColumn("stands", F.lit(True))
+    if near.metrics["shorts"]:
+        places = stage(near.df.where("short").select(F.col("doc_id").alias("_doc"), F.col("k").alias("_k")).distinct(), "short-places")
+        same = F.expr("doc_id <=> _doc AND k = _k")
+        held = texts.join(places.side(), same, "left_semi").dropDuplicates(["doc_id", "k"]).select(
+            F.col("doc_id").alias("_doc"), F.col("k").alias("_k"), sentences(F.col("text"), words).alias("s"))
+        found = near.df.where("NOT short").withColumn("stands", F.lit(True)).unionByName(
+            near.df.where("short").join(held, same).withColumn("stands", _stands("phrase", "n")).drop("_doc", "_k", "s"))
+    zero = F.lit(0)
+    return found.select(
+        "doc_id", "k", "item_id", "shift", "n_windows", F.col("n_windows").cast("int").alias("n_hit"), F.lit(1.0).alias("coverage"),
+        zero.alias("n_slots"), zero.alias("n_agree"), zero.alias("n_changed"), F.col("stands").alias("consistent"), F.lit("verbatim").alias("kind"))
+
+
+def sentences(text: Column, tokens) -> Column:
+    """Of each sentence or line, its tokens joined by blanks, and how many they are."""
+    def one(part: Column) -> Column:
+        return F.transform(F.array(tokens(part)), lambda t: F.struct(F.array_join(t, " ").alias("t"), F.size(t).alias("n")))[0]
+
+    return F.transform(F.split(F.coalesce(text, F.lit("")), SENTENCE_END), one)
+
+
+def _stands(phrase: str, n: str) -> Column:
+    """Whether a phrase of ``n`` tokens makes up at least half of one of the sentences ``s``."""
+    def holds(x: Column) -> Column:
+        inside = F.concat(F.lit(" "), x["t"], F.lit(" ")).contains(F.concat(F.lit(" "), F.col(phrase), F.lit(" ")))
+        return (x["n"] <= 2 * F.col(n)) & inside
+
+    return F.exists("s", holds)
 
 
 def _side_by_side(texts: DataFrame, near: Staged, items: Staged, agreement: float) -> DataFrame:
@@ -148,8 +225,11 @@ def _side_by_side(texts: DataFrame, near: Staged, items: Staged, agreement: floa
     found = stage(found, "aligned-documents")
     chosen = texts.join(found.side(), F.expr("doc_id <=> _doc AND k = _k"), "left_semi").dropDuplicates(["doc_id", "k"])
     own = words(F.col("text"))
-    chosen = chosen.select(F.col("doc_id").alias("_doc"), F.col("k").alias("_k"), run_values(own).alias("dw"), run_template(own).alias("dt"))
+    parts = sentences(F.col("text"), lambda part: run_template(words(part))) if items.metrics["shorts"] else F.lit(None).cast("array<struct<t:string,n:int>>")
+    chosen = chosen.select(F.col("doc_id").alias("_doc"), F.col("k").alias("_k"), run_values(own).alias("dw"), run_template(own).alias("dt"), parts.alias("s"))
     pairs = near.df.join(chosen, F.expr("doc_id <=> _doc AND k = _k")).join(items.side(items.df.drop("w")), "item")
+    pairs = pairs.withColumns({"phrase": F.array_join("bt", " "), "n": F.size("bt")})
+    stands = ~F.col("short") | F.coalesce(_stands("phrase", "n"), F.lit(False))
 
     def shift_at(place: Column) -> Column:
         """The diagonal of the window that is nearest to a place of the item."""
@@ -190,16 +270,15 @@ def _side_by_side(texts: DataFrame, near: Staged, items: Staged, agreement: floa
     return pairs.select(
         "doc_id", "k", "item_id", "shift", "n_windows", "n_hit", (F.col("n_hit") / F.col("n_windows")).alias("coverage"),
         n_slots.alias("n_slots"), agree.alias("n_agree"), changed.alias("n_changed"),
-        (agree >= agreement * n_slots).alias("consistent"),
+        ((agree >= agreement * n_slots) & stands).alias("consistent"),
         F.when(changed == 0, "verbatim").otherwise("changed").alias("kind"),
     )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without those that hold a benchmark item."""
-    leaks = matches(docs, benchmark, **options).where("consistent").select(
-        F.col("doc_id").alias("_fl_doc"), F.col("k").alias("_fl_k")).distinct()
+    doc, k, key = fresh(docs, "doc", "k", "key")
+    leaks = matches(docs, benchmark, **options).where("consistent").select(F.col("doc_id").alias(doc), F.col("k").alias(k)).distinct()
     leaks = stage(leaks, "leaks")
-    keyed_docs = docs.withColumn("_fl_key", text_key(F.col("text").cast("string")))
-    held = keyed_docs.join(leaks.side(), F.expr("CAST(doc_id AS BIGINT) <=> _fl_doc AND _fl_key = _fl_k"), "left_anti")
-    return held.drop("_fl_key")
+    with_key = docs.withColumn(key, text_key(F.col("text").cast("string")))
+    return with_key.join(leaks.side(), F.expr(f"CAST(doc_id AS BIGINT) <=> {doc} AND {key} = {k}"), "left_anti").drop(key)
