@@ -481,6 +481,54 @@ def build_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_REFRESH_SQL = """
+    WITH joined AS (
+        SELECT c_custkey, c_name, n_name, c_mktsegment, c_acctbal::decimal(18,2) AS balance
+        FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    newer AS (
+        SELECT c_custkey, c_name, n_name, c_mktsegment,
+               CASE WHEN c_mktsegment = 'MACHINERY' THEN balance + 1 ELSE balance END AS balance FROM joined),
+    before AS (SELECT c_custkey, concat_ws(' ', 'A customer of', n_name, 'trades in', c_mktsegment, 'and holds',
+                      floor(balance / 100)::bigint::varchar, 'hundred') AS document, balance FROM joined WHERE balance >= 0),
+    after AS (SELECT c_custkey, concat_ws(' ', 'A customer of', n_name, 'trades in', c_mktsegment, 'and holds',
+                     floor(balance / 100)::bigint::varchar, 'hundred') AS document, balance FROM newer),
+    counts AS (
+        SELECT (SELECT count(DISTINCT document) FROM before) AS first_texts,
+               (SELECT count(DISTINCT document) FROM after WHERE document NOT IN (SELECT document FROM before)) AS new_texts,
+               (SELECT count(*) FROM after a LEFT JOIN before b USING (c_custkey) WHERE b.c_custkey IS NULL) AS inserted,
+               (SELECT count(*) FROM after a JOIN before b USING (c_custkey) WHERE a.balance <> b.balance) AS updated)
+"""
+
+
+@_register(_REFRESH_SQL + f""",
+    {_word_counts_sql("doc", "c_custkey", "after", "document")},
+    sizes AS (SELECT c_custkey, count(*) AS n_buckets, sum(tf) AS n_words FROM doc_tf GROUP BY ALL)
+    SELECT c_custkey, document, n_buckets, n_words, first_texts, new_texts, inserted, updated
+    FROM after JOIN sizes USING (c_custkey) CROSS JOIN counts
+""")
+def refresh_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A vector table brought up to date: customers with a negative balance arrive, and
+    those in machinery get one more dollar; the model is given new sentences only."""
+    customers = _table(spark, sf_dir, "customer").join(
+        _table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    ).select("c_custkey", "c_name", "n_name", "c_mktsegment", "c_nationkey", _money("c_acctbal").alias("balance"))
+    grown = customers.withColumn("balance", F.when(F.col("c_mktsegment") == "MACHINERY", F.col("balance") + 1).otherwise(F.col("balance")).cast("decimal(18,2)"))
+    spec = loads.LoadSpec(
+        keys=("c_custkey",), sentence=("A customer of", "{n_name}", "trades in", "{c_mktsegment}", "and holds", "{hundreds}", "hundred"),
+        buckets=8)
+    raw = lambda df: with_keys(df.withColumn("hundreds", F.floor(F.col("balance") / 100).cast("string")), ["c_custkey"])
+    table, store = scratch_path(spark, "table"), scratch_path(spark, "vectors")
+    first = loads.refresh_vectors(raw(customers.where("balance >= 0")), table, store, "words-1", spec)
+    later = loads.refresh_vectors(raw(grown), table, store, "words-1", spec)
+    number = lambda n: F.lit(n).cast("long")
+    return tables.read_current(spark, table).select(
+        "c_custkey", F.col("player_document").alias("document"),
+        F.size(F.filter("player_vector", lambda x: x != 0)).cast("long").alias("n_buckets"),
+        F.aggregate("player_vector", F.lit(0.0), lambda s, x: s + x).alias("n_words"),
+        number(first.embedded).alias("first_texts"), number(later.embedded).alias("new_texts"),
+        number(later.merged.inserted).alias("inserted"), number(later.merged.updated).alias("updated"))
+
+
 @_register("""
     SELECT vec_id, len(embedding) AS n_elements,
            round(list_sum(list_transform(embedding, lambda x: x::double)), 6) AS total

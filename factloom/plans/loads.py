@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factloom.functions.text import PLAYER_SENTENCE, sentence
+from factloom.operators import vector_store
 from factloom.operators.embed import EmbedderFactory, HashingEmbedder, embed, embed_distinct
 from factloom.operators.enrich import enrich
 from factloom.operators.merge import MergeResult, apply_merge
@@ -81,18 +82,70 @@ def build_vectors(
     """Write the rows with their sentence and its vector; return the row count.
     Decimals become doubles. With ``distinct`` equal sentences are embedded
     once."""
+    documents = with_sentence(raw, spec, skip_nulls)
+    if distinct:
+        vectors = embed_distinct(documents, DOCUMENT, VECTOR, make_embedder, tasks)
+    else:
+        vectors = embed(documents, DOCUMENT, VECTOR, make_embedder)
+    return tables.overwrite(vectors, table, ROW_KEY, spec.buckets)
+
+
+def with_sentence(raw: DataFrame, spec: LoadSpec, skip_nulls: bool = False) -> DataFrame:
+    """The rows with their sentence; decimals become doubles."""
     plain = raw.select(
         [
             F.col(f.name).cast("double") if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
             for f in raw.schema.fields
         ]
     )
-    documents = plain.withColumn(DOCUMENT, sentence(spec.sentence, skip_nulls))
-    if distinct:
-        vectors = embed_distinct(documents, DOCUMENT, VECTOR, make_embedder, tasks)
-    else:
-        vectors = embed(documents, DOCUMENT, VECTOR, make_embedder)
-    return tables.overwrite(vectors, table, ROW_KEY, spec.buckets)
+    return plain.withColumn(DOCUMENT, sentence(spec.sentence, skip_nulls))
+
+
+@dataclass(frozen=True)
+class VectorRefresh:
+    """What a refresh did: texts given to the model, and rows written to the vector table."""
+
+    embedded: int
+    merged: MergeResult
+
+
+def refresh_vectors(
+    raw: DataFrame,
+    table: str,
+    store: str,
+    model: str,
+    spec: LoadSpec = LoadSpec(),
+    make_embedder: EmbedderFactory = HashingEmbedder,
+    tasks: int | None = None,
+    skip_nulls: bool = False,
+) -> VectorRefresh:
+    """Bring the vector table up to date with the raw rows, at the cost of what changed.
+
+    The change hash of a vector row covers the raw row's hash and the model's version.
+    Only raw rows whose hash is not there yet get a sentence; only sentences the
+    vector store lacks are given to the model; and only their rows are merged into the
+    table. Rows that vanished from the raw table stay, as in any merge.
+    """
+    spark = raw.sparkSession
+    hashed = raw.withColumn(ROW_HASH, row_hash_with(model))
+    known = None
+    if tables.exists(spark, table):
+        known = tables.read_current(spark, table).select(ROW_KEY, F.col(ROW_HASH).alias("_known"))
+        # Without shuffle of payload: only keys and hashes of the table are read.
+        same = known.select(F.col(ROW_KEY).alias("_key"), "_known").distinct()
+        hashed = hashed.join(same, (F.col(ROW_KEY) == F.col("_key")) & (F.col(ROW_HASH) == F.col("_known")), "left_anti")
+    changed = stage(with_sentence(hashed, spec, skip_nulls), "changed-rows")
+    done = vector_store.refresh(changed.df, DOCUMENT, store, model, make_embedder, tasks)
+    rows = vector_store.with_vectors(changed.df, DOCUMENT, store, model, VECTOR)
+    if known is None:
+        written = tables.overwrite(rows, table, ROW_KEY, spec.buckets)
+        return VectorRefresh(done.embedded, MergeResult(written, 0, 0, 0))
+    return VectorRefresh(done.embedded, apply_merge(spark, table, rows, spec.keys))
+
+
+def row_hash_with(model: str) -> Column:
+    """The raw row's hash together with the model's version."""
+    return F.xxhash64(F.col(ROW_HASH), F.lit(model))
 
 
 @dataclass(frozen=True)
