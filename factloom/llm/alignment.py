@@ -1,15 +1,17 @@
 """Alignment of the tokens of two tokenizers over the same texts.
 
 Each text is encoded whole by both. A place where a token of either side begins with
-a blank, and where both sides have come to the same byte, is an anchor. Anchors cut a
-text into windows, each the token ids of both sides between two of them. What a window
-holds (its groups, and which tokens overlap) depends on its ids alone and is worked out
-once per task and different window; texts repeat most of their windows.
+a blank, and where both sides have come to the same byte, is an anchor. Anchors cut the
+texts into windows, each the token ids of both sides between two of them. What a window
+holds (its groups, and which tokens overlap) depends on its ids alone. So windows are
+told apart by their id tuples, found by hash and compared in full, each different one of
+some megabytes of text is aligned once, and its alignment serves all its occurrences.
 
-The second encoder is held to blanks as well: a vocabulary in which no piece holds a
+The second encoder is held to words as well: a vocabulary in which no piece holds a
 blank after other characters joins nothing across the start of a word, so the ids of a
-text are those of its words in turn, and words repeat. Other vocabularies are given
-whole texts. A test holds both against the library's own encoding of whole texts.
+text are those of its words in turn, and words repeat. Other vocabularies, and texts
+with blanks in a row, are given whole texts. A test holds both against the library's
+own encoding of whole texts.
 
 Per text the different id pairs are kept with their numbers. How many documents hold a
 pair is counted from these with a partial count per task. Pairs in one document only
@@ -18,37 +20,33 @@ is broadcast if measured small, and joined by shuffle otherwise.
 
 Defined cases: NULL and empty texts, and texts that an encoder does not give back byte by
 byte, have no tokens: zeros, and an empty digest. Rows with one doc_id are judged one
-by one, also equal ones. Very long texts are encoded whole. An empty table gives no
-rows. Other columns are not read.
+by one, also equal ones. Very long texts are encoded whole, in a turn of their own. An
+empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
-import re
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.texts import column, small_batches
+from factloom.llm.texts import Spans, column, mix, small_batches
 from factloom.llm.tokens import encoder, ranks
 from factloom.sources.staging import stage
 
-KNOWN = 120_000  # words, and windows, that a task remembers
-LONGEST_KNOWN = 64
-BATCH_LINKS = 1 << 17
-BLANK = "▁"
-_WORD = re.compile(r" *[^ ]+| +")
+TURN_CHARS = 1 << 20  # texts that share their windows' alignments
+BLANK = "\u2581"
 
 
 class Pieces:
-    """Encoding with a sentence-piece file; the text is given with its leading blank."""
+    """Encoding with a sentence-piece file."""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
@@ -59,35 +57,60 @@ class Pieces:
         self.bytes = [bytes([int(name[3:5], 16)]) if self.model.is_byte(i) else name.replace(BLANK, " ").encode()
                       for i, name in enumerate(names)]
         self.by_word = not any(BLANK in name.lstrip(BLANK) for name in names)
-        self.known: dict[str, list[int]] = {}
 
-    def encode(self, text: str) -> list[int]:
-        if not self.by_word or BLANK in text:
-            return self.model.encode(text[1:], num_threads=1)
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        return list(chain.from_iterable(map(self._word, _WORD.findall(text))))
-
-    def _word(self, word: str) -> list[int]:
-        found = self.known.get(word)
-        if found is None:
-            found = self.model.encode(word[1:], num_threads=1)
-            if len(word) <= LONGEST_KNOWN:
-                self.known[word] = found
-        return found
-
-
-class Window:
-    """The alignment of the ids of one window."""
-
-    __slots__ = ("text", "groups", "codes")
-
-    def __init__(self, text: str, groups: int, codes: np.ndarray):
-        self.text, self.groups, self.codes = text, groups, codes
+    def plain(self, text: str) -> bool:
+        """Whether the ids of a text are those of its words."""
+        return self.by_word and "  " not in text and BLANK not in text and text[0] != " " and text[-1] != " "
+
+    def true(self, text: str, ids: list[int]) -> bool:
+        """Whether ids give back a text and the blank before it."""
+        return b"".join(map(self.bytes.__getitem__, ids)) == b" " + text.encode()
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, how many each text has, and whether they give it back."""
+        plain = np.array([self.plain(text) for text in texts], bool)
+        parts, sizes = [np.zeros(0, np.int32)] * len(texts), np.zeros(len(texts), np.int64)
+        good = np.ones(len(texts), bool)
+        if plain.any():
+            split = pc.split_pattern(pa.array([t for t, yes in zip(texts, plain) if yes], pa.large_string()), " ")
+            coded = pc.list_flatten(split).dictionary_encode()
+            known = coded.dictionary.to_pylist()
+            found = self.model.encode(known, num_threads=1)
+            lengths = np.fromiter(map(len, found), np.int64, len(known))
+            flat = list(chain.from_iterable(found))
+            right = np.ones(len(known), bool)
+            if not self.true(" ".join(known), flat):  # else each of them is
+                right = np.fromiter(map(self.true, known, found), bool, len(known))
+            flat = np.array(flat, np.int32)
+            which = coded.indices.to_numpy(zero_copy_only=False)
+            ids = flat[_ranges(np.cumsum(lengths) - lengths, lengths, which)]
+            first = np.asarray(split.offsets)[:-1]
+            good[plain] = np.logical_and.reduceat(right[which], first)
+            sizes[plain] = np.add.reduceat(lengths[which], first)
+            for at, part in zip(np.flatnonzero(plain), np.split(ids, np.cumsum(sizes[plain])[:-1])):
+                parts[at] = part
+        for at in np.flatnonzero(~plain):
+            found = self.model.encode(texts[at], num_threads=1)
+            parts[at], sizes[at], good[at] = np.array(found, np.int32), len(found), self.true(texts[at], found)
+        return np.concatenate([*parts, np.zeros(0, np.int32)]), sizes, good
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The places of some ranges, one after the other."""
+    n = lengths[which]
+    ends = np.cumsum(n)
+    return np.repeat(starts[which] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _union(a: np.ndarray, b: np.ndarray, shared: bool = False) -> np.ndarray:
+    """The values of two increasing arrays, each once; or those that both have."""
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    again = both[1:] == both[:-1]
+    return both[1:][again] if shared else both[np.concatenate([[True], ~again])]
 
 
 class Aligner:
-    """Both encoders, and what windows came to so far."""
+    """Both encoders, with the bytes of their tokens."""
 
     def __init__(self, first: str, second: str):
         self.a, self.b = encoder(first), Pieces(second)
@@ -95,82 +118,100 @@ class Aligner:
         self.a_bytes = [b""] * (max(known.values()) + 1)
         for token, i in known.items():
             self.a_bytes[i] = token
-        self.b_bytes = self.b.bytes
-        self.a_lengths, self.b_lengths = (np.array([*map(len, x)], np.int64) for x in (self.a_bytes, self.b_bytes))
-        self.a_marked, self.b_marked = (np.array([t[:1] == b" " for t in x]) for x in (self.a_bytes, self.b_bytes))
-        self.width = len(self.b_bytes)
-        self.number: dict[tuple[bytes, bytes], int] = {}
-        self.windows: list[Window] = []
-
-    def window(self, a: list[int], b: list[int]) -> Window:
-        """Groups between shared ends, and the id pairs whose bytes overlap."""
-        groups, codes = [], []
-        i = j = low = first = 0
-        a_end, b_end = len(self.a_bytes[a[0]]), len(self.b_bytes[b[0]])
-        while True:
-            codes.append(a[i] * self.width + b[j])
-            step_a, step_b = a_end <= b_end, b_end <= a_end
-            i, j = i + step_a, j + step_b
-            if step_a and step_b:
-                groups.append(f"{','.join(map(str, a[low:i]))}|{','.join(map(str, b[first:j]))}")
-                low, first = i, j
-                if i == len(a):
-                    return Window(";".join(groups), len(groups), np.array(codes, np.int64))
-            if step_a:
-                a_end += len(self.a_bytes[a[i]])
-            if step_b:
-                b_end += len(self.b_bytes[b[j]])
-
-    def encode(self, text: str | None) -> tuple[list[int], list[int]]:
-        """The ids of both sides; none if a side does not give back the text's bytes."""
-        if not text:
-            return [], []
-        text = " " + text
-        a, b = self.a.encode(text), self.b.encode(text)
-        whole = text.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
-            return [], []
-        return a, b
-
-    def align(self, text: str | None) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray]:
-        """n_a, n_b, n_groups, n_links, the digest of the groups, different pair codes and their numbers."""
-        ids_a, ids_b = self.encode(text)
-        if not ids_a:
-            return 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)
-        a, b = np.array(ids_a, np.int32), np.array(ids_b, np.int32)
-        a_at, b_at = (np.cumsum(n) - n for n in (self.a_lengths[a], self.b_lengths[b]))
-        i, j = _anchors(a_at, self.a_marked[a], b_at, self.b_marked[b])
-        if len(self.number) > KNOWN:
-            self.number, self.windows = {}, []
-        number, windows, order = self.number, self.windows, []
-        a_ids, b_ids = a.tobytes(), b.tobytes()
-        for p, q, r, s in zip((4 * i).tolist(), [*(4 * i[1:]).tolist(), len(a_ids)],
-                              (4 * j).tolist(), [*(4 * j[1:]).tolist(), len(b_ids)]):
-            key = a_ids[p:q], b_ids[r:s]  # the id tuples, packed
-            at = number.get(key)
-            if at is None:
-                at = number[key] = len(windows)
-                windows.append(self.window(ids_a[p // 4:q // 4], ids_b[r // 4:s // 4]))
-            order.append(at)
-        digest = hashlib.sha256(";".join([windows[at].text for at in order]).encode()).hexdigest()
-        which, times = np.unique(np.array(order, np.int64), return_counts=True)
-        found = [windows[at] for at in which.tolist()]
-        groups = int(np.dot(times, np.array([w.groups for w in found], np.int64)))
-        codes = np.concatenate([w.codes for w in found])
-        times = np.repeat(times, np.array([len(w.codes) for w in found]))
-        codes, place = np.unique(codes, return_inverse=True)
-        times = np.bincount(place, times, len(codes)).astype(np.int64)
-        return len(a), len(b), groups, int(times.sum()), digest, codes, times
-
-
-def _anchors(a_at: np.ndarray, a_marked: np.ndarray, b_at: np.ndarray, b_marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places where both sides have ended and begin anew with a blank, and the start."""
-    i = np.flatnonzero(a_marked)
-    j = np.searchsorted(b_at, a_at[i])
-    inside = j < len(b_at)
-    i, j = i[inside], j[inside]
-    shared = (b_at[j] == a_at[i]) & b_marked[j] & (i > 0)
-    return np.concatenate([[0], i[shared]]), np.concatenate([[0], j[shared]])
+        self.a_lengths, self.b_lengths = (np.array([*map(len, x)], np.int64) for x in (self.a_bytes, self.b.bytes))
+        self.a_marked, self.b_marked = (np.array([t[:1] == b" " for t in x]) for x in (self.a_bytes, self.b.bytes))
+        self.width = len(self.b.bytes)
+        # Every id as text before each of the separators.
+        self.size = max(len(self.a_bytes), self.width)
+        self.pieces = [f"{i}{mark}" for mark in ",|;\n" for i in range(self.size)]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and their numbers per text for both sides, and which texts are given back by both."""
+        found, good = [], np.ones(len(texts), bool)
+        for i, text in enumerate(texts):
+            ids = self.a.encode(" " + text)
+            good[i] = b"".join(map(self.a_bytes.__getitem__, ids)) == b" " + text.encode()
+            found.append(np.array(ids, np.int32))
+        a, n_a = np.concatenate([*found, np.zeros(0, np.int32)]), np.array([*map(len, found)], np.int64)
+        b, n_b, right = self.b.encode(texts)
+        good &= right
+        return a[np.repeat(good, n_a)], n_a * good, b[np.repeat(good, n_b)], n_b * good, good
+
+    def align(self, texts: list[str]) -> tuple:
+        """Per text n_a, n_b, n_groups, n_links and the digest of its groups; then, as one
+        list, the different pair codes of the texts, their times, and how many each has."""
+        a, n_a, b, n_b, good = self.encode(texts)
+        n_groups, n_links, distinct = (np.zeros(len(texts), np.int64) for _ in range(3))
+        digests = [""] * len(texts)
+        if not good.any():
+            return n_a, n_b, n_groups, n_links, digests, np.zeros(0, np.int64), np.zeros(0, np.int64), distinct
+        # Both sides of a text have the same bytes, so all texts can be laid in a row.
+        a_end, b_end = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
+        a_at, b_at = a_end - self.a_lengths[a], b_end - self.b_lengths[b]
+        begins = a_at[(np.cumsum(n_a) - n_a)[good]]
+        anchors = _union(a_at[self.a_marked[a]], b_at[self.b_marked[b]], shared=True)
+        anchors = _union(anchors, begins)
+        i, j = (np.append(np.searchsorted(at, anchors), len(at)) for at in (a_at, b_at))
+        which, chosen = _same_windows(a, i, b, j)
+        codes, n_codes, groups, lines = self.windows(a, i, b, j, chosen)
+
+        first = np.searchsorted(anchors, begins)  # the first window of each text
+        rows = np.flatnonzero(good)
+        n_groups[rows] = np.add.reduceat(groups[which], first)
+        n_links[rows] = np.add.reduceat(n_codes[which], first)
+        for row, low, high in zip(rows.tolist(), first.tolist(), [*first[1:].tolist(), len(which)]):
+            digests[row] = hashlib.sha256(";".join([lines[k] for k in which[low:high].tolist()]).encode()).hexdigest()
+        text = np.repeat(np.arange(len(rows)), n_links[rows])
+        every = codes[_ranges(np.cumsum(n_codes) - n_codes, n_codes, which)]
+        limit = len(self.a_bytes) * self.width
+        every = np.sort(text * limit + every)
+        new = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        times = np.diff(np.append(new, len(every)))
+        text, codes = np.divmod(every[new], limit)
+        distinct[rows] = np.bincount(text, minlength=len(rows))
+        return n_a, n_b, n_groups, n_links, digests, codes, times, distinct
+
+    def windows(self, a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, chosen: np.ndarray) -> tuple:
+        """Alignment of the chosen windows: the codes of the linked id pairs and how many each
+        window has, the number of groups, and the groups as text."""
+        size_a, size_b = np.diff(i), np.diff(j)
+        a, b = a[_ranges(i[:-1], size_a, chosen)], b[_ranges(j[:-1], size_b, chosen)]
+        a_end, b_end = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
+        window_end = a_end[np.cumsum(size_a[chosen]) - 1]
+        # Between two neighbouring ends, of either side, lies one linked pair.
+        ends = _union(a_end, b_end)
+        at_a, at_b = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
+        codes = a[at_a].astype(np.int64) * self.width + b[at_b]
+        n_codes = np.diff(np.searchsorted(ends, window_end, "right"), prepend=0)
+        shared = ends[(a_end[at_a] == ends) & (b_end[at_b] == ends)]
+        groups = np.diff(np.searchsorted(shared, window_end, "right"), prepend=0)
+        # The text: of each group the ids of one side, then of the other.
+        group_a, group_b = np.searchsorted(shared, a_end), np.searchsorted(shared, b_end)
+        before_a = np.concatenate([[0], np.cumsum(np.bincount(group_a, minlength=len(shared)))])
+        before_b = np.concatenate([[0], np.cumsum(np.bincount(group_b, minlength=len(shared)))])
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + before_b[group_a]] = a + self.size * (a_end == shared[group_a])
+        last = np.isin(shared, window_end, assume_unique=True)
+        order[np.arange(len(b)) + before_a[group_b + 1]] = b + self.size * np.where(b_end == shared[group_b], 2 + last[group_b], 0)
+        lines = "".join(map(self.pieces.__getitem__, order.tolist())).split("\n")
+        return codes, n_codes, groups, lines
+
+
+def _same_windows(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window the number of its id tuples, and for each number a window that has them."""
+    hashes = [Spans(mix(ids.astype(np.uint64) + np.uint64(1))).of(at[:-1], at[1:]) for ids, at in ((a, i), (b, j))]
+    _, chosen, which = np.unique(mix(hashes[0] + mix(hashes[1] ^ np.uint64(0x5851F42D4C957F2D))), return_index=True, return_inverse=True)
+    model = chosen[which]
+    same = np.ones(len(which), bool)
+    for ids, at in ((a, i), (b, j)):
+        n = np.diff(at)
+        same &= n == n[model]
+        compared = np.flatnonzero(same)
+        equal = ids[_ranges(at[:-1], n, compared)] == ids[_ranges(at[:-1], n, model[compared])]
+        same[compared] = np.logical_and.reduceat(equal, np.cumsum(n[compared]) - n[compared])
+    alone = np.flatnonzero(~same)  # equal hashes of different ids
+    which[alone] = len(chosen) + np.arange(len(alone))
+    return which, np.concatenate([chosen, alone])
 
 
 @cache
@@ -197,29 +238,35 @@ def links(docs: DataFrame, first: str, second: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(first, second)
         for batch in batches:
-            rows, held = [], 0
-            for row in zip(column(batch, "row").to_pylist(), column(batch, "doc_id").to_pylist(), column(batch, "text")):
-                found = own.align(row[2].as_py())
-                rows.append((*row[:2], *found))
-                held += len(found[5])
-                if held >= BATCH_LINKS:
-                    yield _batch(rows, kind)
-                    rows, held = [], 0
-            if rows:
-                yield _batch(rows, kind)
+            texts, low = column(batch, "text").to_pylist(), 0
+            while low < len(texts):
+                high, held = low, 0
+                while high < len(texts) and (high == low or held + len(texts[high] or "") <= TURN_CHARS):
+                    held += len(texts[high] or "")
+                    high += 1
+                yield _aligned(own, batch.slice(low, high - low), texts[low:high], kind)
+                low = high
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                            F.col("text").cast("string").alias("text"))
     return numbered.mapInArrow(run, _TEXTS.format(name))
 
 
-def _batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-    columns = list(zip(*rows))
-    ends = np.concatenate([[0], np.cumsum([len(x) for x in columns[7]])]).astype(np.int32)
-    lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values)).cast(of))
-             for values, of in ((columns[7], kind), (columns[8], pa.int32()))]
+def _aligned(own: Aligner, batch: pa.RecordBatch, texts: list[str | None], kind: pa.DataType) -> pa.RecordBatch:
+    full = np.flatnonzero([bool(text) for text in texts])
+    *numbers, digests, codes, times, distinct = own.align([texts[i] for i in full])
+
+    def spread(values) -> np.ndarray:
+        out = np.zeros(len(texts), np.int64)
+        out[full] = values
+        return out
+
+    every = np.full(len(texts), "", object)
+    every[full] = digests
+    ends = pa.array(np.concatenate([[0], np.cumsum(spread(distinct))]).astype(np.int32))
     return pa.RecordBatch.from_arrays(
-        [*(pa.array(values, pa.int64()) for values in columns[:6]), pa.array(columns[6], pa.string()), *lists],
+        [column(batch, "row"), column(batch, "doc_id"), *(pa.array(spread(values)) for values in numbers), pa.array(every, pa.string()),
+         pa.ListArray.from_arrays(ends, pa.array(codes).cast(kind)), pa.ListArray.from_arrays(ends, pa.array(times).cast(pa.int32()))],
         names=["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "codes", "times"])
 
 
