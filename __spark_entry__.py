@@ -547,7 +547,7 @@ def vector_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Retrieval --------------------------------------------------------------------
 
 
-@_register("""
+_TOPK_SQL = """
     WITH pairs AS (
         SELECT q.vec_id AS qid, d.vec_id AS doc_key,
                round(list_cosine_similarity(q.embedding::double[], d.embedding::double[]), 12) AS s
@@ -555,7 +555,10 @@ def vector_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked AS (
         SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s DESC, doc_key) AS rank FROM pairs)
     SELECT qid, doc_key, round(s, 6) AS similarity, rank::bigint AS rank FROM ranked WHERE rank <= 3
-""")
+"""
+
+
+@_register(_TOPK_SQL)
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vector search over all vectors, for each of them."""
     vectors = _table(spark, sf_dir, "embeddings")
@@ -565,6 +568,16 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
+@_register(_TOPK_SQL)
+def bounded_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search, scheduled by the executors: cells and rings of documents meet the
+    blocks of questions that may need them."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    docs = vectors.select(F.col("vec_id").alias("doc_key"), F.col("embedding").alias("vector"))
+    asked = vectors.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("question_vector"))
+    return search.bounded_topk(docs, asked, 3).withColumn("similarity", F.round("similarity", 6))
+
+
 @_register(f"""
     WITH docs AS (SELECT min(doc_id) AS doc_key, text AS document FROM documents GROUP BY text),
     questions AS (SELECT doc_key AS qid, document AS question FROM docs),
