@@ -30,7 +30,7 @@ from factloom.operators.merge import (  # noqa: E402
 from factloom.operators.prompts import GREETING, HYBRID, VECTOR_ONLY  # noqa: E402
 from factloom.plans import answering, loads  # noqa: E402
 from factloom.schemas import CSV_FORMAT, ROW_HASH, ROW_KEY, VECTOR_DIM  # noqa: E402
-from factloom.sources import tables  # noqa: E402
+from factloom.sources import inference, tables  # noqa: E402
 from factloom.sources.landing import read_landing  # noqa: E402
 from factloom.sources.staging import scratch_path, stage  # noqa: E402
 from factloom.streaming.landing import merge_new_files  # noqa: E402
@@ -99,6 +99,64 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, path, documents.schema)
 
 
+@_register("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same landing files, each read by many tasks in byte ranges of 256 KB."""
+    documents = _table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "landing")
+    documents.write.options(**CSV_FORMAT).csv(path)
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "256k")
+    try:
+        return stage(read_landing(spark, path, documents.schema, split=True), "split-scan").df
+    finally:
+        spark.conf.set(size, before)
+
+
+_TYPED = {
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    "lineitem": ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"),
+}
+
+_TYPES_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {c}::varchar AS t FROM {table}" for table, columns in _TYPED.items() for c in columns)
+
+
+@_register(f"""
+    WITH texts AS ({_TYPES_SQL}),
+    marked AS (
+        SELECT column_name, t, regexp_full_match(t, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)') AND NOT regexp_matches(t, '^[+-]?0[0-9]') AS number,
+               regexp_full_match(t, '[+-]?[0-9]+') AND NOT regexp_matches(t, '^[+-]?0[0-9]') AS whole,
+               try_cast(t AS timestamp) IS NOT NULL AND t LIKE '____-__-__ %' AS time
+        FROM texts),
+    states AS (
+        SELECT column_name, count(t) AS n_values, count_if(whole) AS n_whole, count_if(number) AS n_numbers, count_if(time) AS n_times,
+               coalesce(max(length(regexp_extract(t, '^[+-]?0*([0-9]*)', 1))) FILTER (number), 0)::int AS digits_before,
+               coalesce(max(length(regexp_extract(t, '\\.([0-9]*)$', 1))) FILTER (number), 0)::int AS digits_after
+        FROM marked GROUP BY ALL)
+    SELECT column_name, n_values, digits_before, digits_after,
+           CASE WHEN n_whole = n_values AND digits_before <= 9 THEN 'int' WHEN n_whole = n_values THEN 'bigint'
+                WHEN n_numbers = n_values THEN 'decimal(' || greatest(1, digits_before + digits_after) || ',' || digits_after || ')'
+                WHEN n_times = n_values THEN 'timestamp_ntz' ELSE 'string' END AS type
+    FROM states
+""")
+def infer_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of landed files, exact to the digit: the files hold nothing but texts."""
+    found = None
+    for table, columns in _TYPED.items():
+        path = scratch_path(spark, "landing")
+        rows = _table(spark, sf_dir, table).select(*[F.col(c).cast("string") for c in columns])
+        rows.write.options(**CSV_FORMAT).csv(path)
+        texts = read_landing(spark, path, rows.schema, split=True)
+        states = inference.states(texts).select(
+            F.col("column").alias("column_name"), F.col("values").alias("n_values"), F.col("before").alias("digits_before"),
+            F.col("after").alias("digits_after"), inference.type_of().alias("type"))
+        found = states if found is None else found.unionByName(states)
+    return found
+
+
 @_register("""
     SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice,
            max(l_extendedprice) OVER (PARTITION BY l_suppkey) AS supplier_max

@@ -35,10 +35,12 @@ class LoadSpec:
     pattern: str = "*.csv"
     multi_line: bool = True
     mode: str = "FAILFAST"
+    # Whether files with such line breaks are read by several tasks each.
+    split: bool = False
 
     def read(self, spark: SparkSession, landing: str) -> DataFrame:
         return read_landing(
-            spark, landing, self.schema, self.pattern, multi_line=self.multi_line, mode=self.mode
+            spark, landing, self.schema, self.pattern, multi_line=self.multi_line, mode=self.mode, split=self.split
         )
 
     def enrich(self, df: DataFrame) -> DataFrame:
