@@ -12,9 +12,10 @@ blocks by hash, and each block of rows meets each block of queries of its part.
 
 Defined cases: NULL and zero vectors, vectors with NULL or non-finite components,
 vectors without id and vectors of another length than most take no part. A query's
-own row is no candidate, but another row with the same id is. Fewer candidates
-than ``k`` give all that the probed parts hold, and if the table has no more than
-``k`` rows besides the query, all parts are probed. An empty table gives no rows.
+own row is no candidate, but another row with the same id is. A query whose probed
+parts hold fewer than ``k`` candidates probes all others too, so it gets ``k`` wherever
+there are as many. Repeated rows are candidates each. An empty table gives no rows.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -183,14 +184,14 @@ def search(vectors: DataFrame, is_query, k: int = 20, router: Router | None = No
     if router is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = rows.where(is_query)
-    total = rows.count()
-    probes = len(router.bias) if total <= k + 1 else router.probes
+    total, probes = rows.count(), router.probes
 
-    def assigned(n: int):
+    def assigned(first: int, last: int | None = None):
+        """To each row its most probable parts, from one place to another."""
         def run(batches):
             for batch in batches:
                 x = _matrix(batch.column(2))
-                best = np.argsort(-router.scores(x), axis=1, kind="stable")[:, :n].astype(np.int32)
+                best = np.argsort(-router.scores(x), axis=1, kind="stable")[:, first:last].astype(np.int32)
                 at = np.repeat(np.arange(len(x)), best.shape[1])
                 taken = batch.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(best.ravel())], names=["row", "vec_id", "embedding", "part"])
@@ -199,8 +200,24 @@ def search(vectors: DataFrame, is_query, k: int = 20, router: Router | None = No
 
     schema = "row long, vec_id long, embedding array<float>, part int"
     columns = ["row", "vec_id", "embedding"]
-    indexed = stage(rows.select(columns).mapInArrow(assigned(1), schema), "index").df
-    asking = stage(queries.select(columns).mapInArrow(assigned(probes), schema), "queries").df
+    indexed = stage(rows.select(columns).mapInArrow(assigned(0, 1), schema), "index").df
+    asking = stage(queries.select(columns).mapInArrow(assigned(0, probes), schema), "queries").df
+    found = stage(_meeting(indexed, asking, k), "found")
+    counts = found.df.groupBy("qrow").agg(F.count(F.lit(1)).alias("n"))
+    few = queries.select(columns).join(counts, F.col("row") == F.col("qrow"), "left").where(F.coalesce("n", F.lit(0)) < min(k, total - 1))
+    few = stage(few.select(columns), "queries-with-few")
+    every = found.df
+    if few.rows:
+        rest = stage(few.df.mapInArrow(assigned(probes), schema), "other-parts").df
+        every = every.unionByName(_meeting(indexed, rest, k))
+    order = Window.partitionBy("qrow").orderBy(F.desc("score"), "vec_id", "row")
+    ranked = every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _meeting(indexed: DataFrame, asking: DataFrame, k: int) -> DataFrame:
+    """RESULT: the ``k`` best of every query and block of a part that it probes."""
+    columns = ["row", "vec_id", "embedding"]
     # One row per part, and there are ``parts`` of them.
     blocks = indexed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("nc"))
     asked = asking.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("int").alias("nq"))
@@ -235,10 +252,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, router: Router | None = No
                          "vec_id": pa.array(ids[of]), "row": pa.array(numbers[of]), "score": pa.array(s)})
 
     keys = ["part", "qb", "cb"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, RESULT)
-    order = Window.partitionBy("qrow").orderBy(F.desc("score"), "vec_id", "row")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, RESULT)
 
 
 def recall(vectors: DataFrame, found: DataFrame, is_query, k: int = 20, most_queries: int = 500) -> float:

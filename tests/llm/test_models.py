@@ -78,6 +78,21 @@ def test_blocks_of_a_hot_part_give_the_same(spark, monkeypatch):
     assert got == plain_nearest(rows, 20)
 
 
+def test_a_query_in_a_nearly_empty_part_gets_all_it_asks_for(spark):
+    """Vectors are routed by the sign of their first place; one part holds three rows."""
+    rows = [(i, [1.0, float(i), 0.5]) for i in range(1, 40)] + [(0, [-1.0, 1.0, 2.0]), (100, [-1.0, 2.0, 2.0]), (101, [-1.0, 3.0, 1.0])]
+    router = ann.Router(np.array([[1.0, -1.0], [0, 0], [0, 0]]), np.zeros(2), 1)
+    found = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id").isin(0, 5), k=20, router=router).collect()
+    for query in (0, 5):
+        own = dict(rows)[query]
+        best = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in rows if i != query)[:20]
+        got = [(r["rank"], r["vec_id"]) for r in found if r["query_id"] == query]
+        if query == 0:
+            assert sorted(got) == [(n, i) for n, (_, i) in enumerate(best, 1)]
+        assert len(got) == 20
+
+
+
 def test_recall_with_learned_partitions(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     found = ann.search(table, F.col("vec_id") % 20 == 0).cache()
