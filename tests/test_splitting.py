@@ -86,7 +86,7 @@ def test_only_a_header(spark, tmp_path):
 
 @pytest.mark.parametrize("line,outside,inside", [
     ("plain", False, True), ('a,"b', True, False), ('"a"', False, False), ('a"', False, False), ('x,5" y', False, False), ('""', False, True),
-    ('"""', True, False), ('","', False, True), ("", False, True), ('a,"",b', False, False)])
+    ('"""', True, False), ('","', False, True), ("", False, True), ('a,"",b', False, True)])
 def test_ends_inside(line, outside, inside):
     assert splitting.ends_inside(line, False) == outside
     assert splitting.ends_inside(line, True) == inside
