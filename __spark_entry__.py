@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from factloom.functions.hashing import portable_hash, with_keys  # noqa: E402
 from factloom.functions.text import contains_all, sentence  # noqa: E402
 from factloom.functions.vectors import check_dim, to_json_text, to_vector  # noqa: E402
-from factloom.operators import answers, filters, search  # noqa: E402
+from factloom.operators import answers, filters, group_state, search  # noqa: E402
 from factloom.operators.embed import HashingEmbedder, embed, embed_distinct  # noqa: E402
 from factloom.operators.enrich import enrich, group_max  # noqa: E402
 from factloom.operators.merge import (  # noqa: E402
@@ -290,6 +290,41 @@ def _counts(spark: SparkSession, merged: MergeResult, label: str | None = None)
     return spark.range(1).select(*([F.lit(label).alias("run")] if label else []), *counts)
 
 
+@_register("""
+    WITH before AS (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'),
+    tops AS (SELECT c_nationkey, max(c_acctbal) AS old_top FROM before GROUP BY ALL),
+    after AS (
+        SELECT c.c_custkey, c_nationkey, c_mktsegment, b.c_custkey IS NULL AS is_new,
+               CASE WHEN n_regionkey = 2 AND b.c_acctbal = old_top THEN c.c_acctbal - 20000 ELSE c.c_acctbal END AS c_acctbal
+        FROM customer c JOIN nation ON c_nationkey = n_nationkey LEFT JOIN tops USING (c_nationkey)
+        LEFT JOIN (SELECT c_custkey, c_acctbal FROM before) b ON b.c_custkey = c.c_custkey),
+    tops_after AS (SELECT c_nationkey, max(c_acctbal) AS nation_max FROM after GROUP BY ALL),
+    marked AS (
+        SELECT a.*, nation_max, nation_max IS DISTINCT FROM old_top AS moved, is_new OR a.c_acctbal <> c.c_acctbal AS changed
+        FROM after a JOIN tops_after USING (c_nationkey) LEFT JOIN tops USING (c_nationkey) JOIN customer c USING (c_custkey)),
+    counts AS (
+        SELECT count_if(is_new) AS inserted, count_if(changed AND NOT is_new) AS updated,
+               count(DISTINCT c_nationkey) FILTER (moved) AS groups_moved, count_if(moved AND NOT changed) AS rows_moved FROM marked)
+    SELECT c_custkey, c_nationkey, c_acctbal, nation_max, inserted, updated, groups_moved, rows_moved FROM marked CROSS JOIN counts
+""")
+def incremental_group_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maxima of nations after customers of one segment arrive and the richest of each nation
+    of region 2 lose their place: only rows of nations whose maximum moved are written again."""
+    customers = _table(spark, sf_dir, "customer")
+    nations = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    known = customers.where("c_mktsegment <> 'BUILDING'")
+    table, state = scratch_path(spark, "table"), scratch_path(spark, "state")
+    loads.initial_load(known, table, _CUSTOMER_LOAD)
+    group_state.build(known, state, "c_nationkey", "c_acctbal")
+    tops = group_max(known, "c_nationkey", "c_acctbal", "old_top").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    richest = tops.where("n_regionkey = 2 AND c_acctbal = old_top").select(*[F.col(c) for c in customers.columns])
+    poorer = richest.withColumn("c_acctbal", F.col("c_acctbal") - 20000)
+    batch = poorer.unionByName(customers.join(richest.select("c_custkey"), "c_custkey", "left_anti").select(*customers.columns))
+    done = group_state.merge(spark, table, state, batch, ["c_custkey"], "c_nationkey", "c_acctbal", "nation_max")
+    counts = [F.lit(getattr(done, name)).cast("long").alias(name) for name in ("inserted", "updated", "groups_moved", "rows_moved")]
+    return tables.read_current(spark, table).select("c_custkey", "c_nationkey", "c_acctbal", "nation_max", *counts)
+
+
 @_register(_MERGE_SQL + "SELECT o_orderkey, o_orderstatus, o_totalprice FROM matched")
 def delta_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merged rows, for a target that is a DataFrame."""

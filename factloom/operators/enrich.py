@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.functions.hashing import with_keys
+from factloom.functions.hashing import named, with_keys
 from factloom.schemas import GROUP_MAX
 from factloom.sources.staging import stage
 
@@ -21,8 +21,8 @@ def group_max(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
     rows themselves are not shuffled; else by a shuffled join, in which
     adaptive execution splits a hot group over several tasks.
     """
-    peaks = stage(df.groupBy(F.col(group).alias("_group")).agg(F.max(value).alias(out)), "group-max")
-    return df.join(peaks.side(), F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group")
+    peaks = stage(df.groupBy(named(group).alias("_group")).agg(F.max(named(value)).alias(out)), "group-max")
+    return df.join(peaks.side(), named(group).eqNullSafe(F.col("_group")), "left").drop("_group")
 
 
 def enrich(

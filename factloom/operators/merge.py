@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.functions.hashing import same_key
+from factloom.functions.hashing import named, quoted, same_key
 from factloom.schemas import ROW_HASH, ROW_KEY
 from factloom.sources import tables
 from factloom.sources.staging import Staged, stage
@@ -40,15 +40,15 @@ class MergeResult:
 
 def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur in several rows, with their number of rows."""
-    return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    return source.groupBy(*map(named, keys)).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
 def latest_per_key(source: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
     """One row per key, the one with the greatest ``order_by``. A plain
     aggregate, so copies of a hot key are reduced before they are shuffled."""
-    row = F.struct(*source.columns)
-    latest = F.max_by(row, F.struct(order_by, ROW_HASH)).alias("row")
-    return source.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(latest).select("row.*")
+    row = F.struct(*map(named, source.columns))
+    latest = F.max_by(row, F.struct(named(order_by), ROW_HASH)).alias("row")
+    return source.groupBy(*[named(k).alias(f"_key_{k}") for k in keys]).agg(latest).select("row.*")
 
 
 def classify(target: DataFrame, source: Staged, keys: Sequence[str]) -> DataFrame:
@@ -63,14 +63,14 @@ def classify(target: DataFrame, source: Staged, keys: Sequence[str]) -> DataFram
 
 def _with_action(target: DataFrame, source: Staged, keys: Sequence[str]) -> DataFrame:
     incoming = source.df
-    known = target.select(*keys, F.col(ROW_HASH).alias("_known_hash"))
+    known = target.select(*map(named, keys), F.col(ROW_HASH).alias("_known_hash"))
     if source.small:
-        wanted = source.df.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        wanted = source.df.select(*[named(k).alias(f"_{k}") for k in keys])
         on = F.lit(True)
         for key in keys:
-            on = on & F.col(key).eqNullSafe(F.col(f"_{key}"))
+            on = on & named(key).eqNullSafe(named(f"_{key}"))
         known = known.join(F.broadcast(wanted), on, "left_semi")
-    known = known.groupBy(*keys).agg(
+    known = known.groupBy(*map(named, keys)).agg(
         F.count(F.lit(1)).alias("_found"), F.min("_known_hash").alias("_least"), F.max("_known_hash").alias("_most")
     )
     found = source.side(known)
@@ -81,7 +81,7 @@ def _with_action(target: DataFrame, source: Staged, keys: Sequence[str]) -> Data
         .otherwise("unchanged")
     )
     copies = F.coalesce("_found", F.lit(1)).alias(COPIES)
-    return joined.select(*[incoming[c] for c in incoming.columns], action.alias(ACTION), copies)
+    return joined.select(*[incoming[quoted(c)] for c in incoming.columns], action.alias(ACTION), copies)
 
 
 def changed_rows(changes: Staged, action: str | None = None) -> DataFrame:
@@ -93,7 +93,7 @@ def changed_rows(changes: Staged, action: str | None = None) -> DataFrame:
 
 def kept_rows(target: DataFrame, changes: Staged, keys: Sequence[str]) -> DataFrame:
     """The rows of the target that no change replaces."""
-    replaced = changes.side(changes.df.where(F.col(ACTION) == "update").select(*keys))
+    replaced = changes.side(changes.df.where(F.col(ACTION) == "update").select(*map(named, keys)))
     return target.join(replaced, same_key(target, replaced, keys), "left_anti")
 
 

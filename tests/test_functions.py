@@ -1,11 +1,13 @@
 """Sentences, keywords, vectors, embedding."""
 
+import hashlib
 import math
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from factloom.functions import hashing
 from factloom.functions.text import contains_keyword, render, sentence
 from factloom.functions.vectors import check_dim, cosine, cosine_to, to_json_text, to_vector
 from factloom.operators.embed import HashingEmbedder, embed, embed_distinct
@@ -104,3 +106,17 @@ def test_embedder_counts_words():
     vectors = HashingEmbedder(8).encode(["one two one", ""])
     assert vectors.shape == (2, 8) and vectors.dtype == np.float32
     assert sorted(vectors[0])[-2:] in ([1, 2], [0, 3]) and not vectors[1].any()
+
+
+def test_portable_hash_tells_separators_in_texts_apart(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("~", None), (None, "~"), ("a\\", "|b"), ("a\\|", "b"), ("a", "b")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    hashes = [r[0] for r in df.select(hashing.portable_hash([df.x, df.y])).collect()]
+    assert len(set(hashes)) == len(rows)
+    assert hashes[-1] == hashlib.md5(b"a|b").hexdigest()
+
+
+def test_columns_of_any_name_are_hashed(spark):
+    df = spark.createDataFrame([(1, 2, "x"), (1, 3, "x")], "`a.b` int, `c``d` int, `e f` string")
+    got = hashing.with_keys(df, ["a.b"]).collect()
+    assert got[0]["row_sk"] == got[1]["row_sk"] and got[0]["row_hash"] != got[1]["row_hash"]
