@@ -76,7 +76,8 @@ def merge(
     counts = lambda g, v, n: F.struct(g.alias(GROUP), v.alias("value"), n.cast("long").alias("n"))
     gone = F.transform(F.coalesce("old", F.array()), lambda x: counts(x["g"], x["v"], F.lit(-1)))
     deltas = changes.df.select(F.explode(F.concat(F.array(counts(F.col(group), F.col(value), F.col("copies"))), gone)).alias("d")).select("d.*")
-    deltas = deltas.groupBy(GROUP, "value").agg(F.sum("n").alias("n")).where("n <> 0")
+    # Also where they cancel out: the rows still need the maximum of their group.
+    deltas = deltas.groupBy(GROUP, "value").agg(F.sum("n").alias("n"))
     deltas = stage(deltas, "value-changes")
     before, after, unknown = _next_state(spark, state, deltas)
     rescanned = 0
