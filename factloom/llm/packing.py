@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.texts import column, record_batches, small_batches
+from factloom.llm.texts import column, forgetful, keep_batches_small, record_batches, small_batches
 from factloom.llm.tokens import encoder, little_endian
 from factloom.sources.staging import stage
 
@@ -48,6 +48,7 @@ def cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """One row per piece of every document, with the checksum of its ids."""
 
+    @forgetful
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
 
@@ -64,6 +65,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
         return record_batches(rows(), _PIECE_SCHEMA)
 
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    keep_batches_small(docs.sparkSession)
     return columns.mapInArrow(run, PIECES)
 
 

@@ -6,6 +6,7 @@ of ASCII (0x20 and 0x09 to 0x0D), which is also what ``bytes.split`` takes.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache, wraps
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 BASE = 0x9E3779B97F4A7C1B
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 KNOWN_WORDS = 200_000
-BATCH_BYTES = "8m"
+BATCH_BYTES = "2m"
 
 
 def text_key(text: Column | str = "text") -> Column:
@@ -152,10 +153,20 @@ def forgetful(run):
             known_words().clear()
             _powers.clear()
             pa.default_memory_pool().release_unused()
+            _trim()(0)
 
     return mapped
 
 
+@cache
+def _trim():
+    """What gives free memory back to the system, where the C library can."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return int
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
