@@ -150,14 +150,19 @@ def forgetful(run):
         try:
             yield from run(batches)
         finally:
-            known_words().clear()
-            _powers.clear()
-            pa.default_memory_pool().release_unused()
-            _trim()(0)
+            forget()
 
     return mapped
 
 
+def forget() -> None:
+    """Empties what this worker remembers, and gives its memory back to the system."""
+    known_words().clear()
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 @cache
 def _trim():
     """What gives free memory back to the system, where the C library can."""
