@@ -303,8 +303,8 @@ def _counts(spark: SparkSession, merged: MergeResult, label: str | None = None)
         SELECT a.*, nation_max, nation_max IS DISTINCT FROM old_top AS moved, is_new OR a.c_acctbal <> c.c_acctbal AS changed
         FROM after a JOIN tops_after USING (c_nationkey) LEFT JOIN tops USING (c_nationkey) JOIN customer c USING (c_custkey)),
     counts AS (
-        SELECT count_if(is_new) AS inserted, count_if(changed AND NOT is_new) AS updated,
-               count(DISTINCT c_nationkey) FILTER (moved) AS groups_moved, count_if(moved AND NOT changed) AS rows_moved FROM marked)
+        SELECT count_if(is_new)::bigint AS inserted, count_if(changed AND NOT is_new)::bigint AS updated,
+               count(DISTINCT c_nationkey) FILTER (moved) AS groups_moved, count_if(moved AND NOT changed)::bigint AS rows_moved FROM marked)
     SELECT c_custkey, c_nationkey, c_acctbal, nation_max, inserted, updated, groups_moved, rows_moved FROM marked CROSS JOIN counts
 """)
 def incremental_group_max(spark: SparkSession, sf_dir: str) -> DataFrame:
