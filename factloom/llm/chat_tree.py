@@ -31,7 +31,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -202,7 +202,7 @@ def format_conversations(conversations: DataFrame, path: str, limit: int = LIMIT
     return Formatted(sequences, found.select("conv_id", "leaf"))
 
 
-@cache
+@lru_cache(256)
 def _fixed(path: str, text: str) -> tuple[int, ...]:
     return tuple(encoder(path).encode(text))
 

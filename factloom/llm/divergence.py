@@ -16,7 +16,7 @@ are added up. All arithmetic is on whole numbers.
 
 Shuffled are the runs (a term once per block and source), the frequencies of kept
 terms, and sums. The number of shards follows the volume of text, so what one task
-merges does not grow with the table.
+merges does not grow with the table; that volume is summed beforehand.
 
 Defined cases: NULL in text, lang or source is an empty string; a group without terms
 takes part with zero counts. Repeated rows and ids count each time. Very long texts
