@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions.hashing import row_hash, same_key, with_keys
-from factloom.operators.merge import MergeResult, apply_merge, stage_source
+from factloom.operators.merge import apply_merge, stage_source
 from factloom.schemas import ROW_HASH, ROW_KEY
 from factloom.sources import tables
 from factloom.sources.staging import Staged, stage
@@ -67,7 +67,8 @@ def merge(
     dedupe_by: str | None = None,
 ) -> Moved:
     """Merge a batch into the table and leave in ``out`` each group's maximum over the whole
-    table. The state goes last, and is built anew from the table if it is found behind."""
+    table. The state goes last: after a merge that was stopped between the two, ``build`` it
+    anew before the next."""
     batch = batch.select([c for c in batch.columns if c not in (out, ROW_KEY, ROW_HASH)])
     payload = [c for c in batch.columns if c not in keys]
     source = stage_source(batch.withColumns({ROW_KEY: row_hash(keys), ROW_HASH: row_hash(payload)}), keys, dedupe_by)
@@ -156,7 +157,3 @@ def _rescan(target: DataFrame, changes: Staged, unknown: Staged, keys: Sequence[
     # A group without rows keeps a state of none.
     return unknown.df.join(found, F.col("_unknown").eqNullSafe(F.col(GROUP)), "left").select(
         F.col("_unknown").alias(GROUP), TOP, F.coalesce(AT_TOP, F.lit(0).cast("long")).alias(AT_TOP))
-
-
-def merge_result(moved: Moved) -> MergeResult:
-    return MergeResult(moved.inserted, moved.updated, moved.unchanged, 0, moved.rows_moved)
