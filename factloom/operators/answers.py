@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions.text import render
@@ -71,13 +71,18 @@ def generate(
             yield pd.DataFrame([_reply(client, t) for t in texts], columns=["reply", "failed"])
 
     tried = prompted.withColumn("_r", reply(F.col("prompt")))
-    status = F.when(F.col("_r.failed"), ERROR).otherwise(F.col("status"))
+    return settled(tried, F.col("_r.reply"), F.col("_r.failed"), style).drop("_r")
+
+
+def settled(tried: DataFrame, reply: Column, failed: Column, style: AnswerStyle) -> DataFrame:
+    """Add the ``answer`` by status: the reply, or the text that stands for it."""
+    status = F.when(failed, ERROR).otherwise(F.col("status"))
     answer = (
         F.when(F.col("status") == NO_MATCH, style.no_match)
         .when(F.col("status").isin(ERROR, BAD_FILTERS), style.error)
-        .otherwise(F.col("_r.reply"))
+        .otherwise(reply)
     )
-    return tried.withColumn("status", status).withColumn("answer", answer).drop("_r")
+    return tried.withColumn("status", status).withColumn("answer", answer)
 
 
 def _reply(client: Generator, prompt: str | None) -> tuple[str | None, bool]:
