@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from factloom.functions.hashing import portable_hash, with_keys  # noqa: E402
 from factloom.functions.text import contains_all, sentence  # noqa: E402
 from factloom.functions.vectors import check_dim, to_json_text, to_vector  # noqa: E402
-from factloom.operators import answers, filters, group_state, search  # noqa: E402
+from factloom.operators import answers, filters, group_state, ledger, search  # noqa: E402
 from factloom.operators.embed import HashingEmbedder, embed, embed_distinct  # noqa: E402
 from factloom.operators.enrich import enrich, group_max  # noqa: E402
 from factloom.operators.merge import (  # noqa: E402
@@ -249,6 +249,26 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(F.lit(rows).cast("long").alias("n_rows"))
 
 
+@_register("""
+    SELECT 'lineitem' AS table_name, count(*) AS n_rows FROM lineitem
+    UNION ALL SELECT 'orders', count(*) FROM orders
+    UNION ALL SELECT 'nothing', 0
+""")
+def stored_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of stored tables, written, appended to and merged, from their footers alone."""
+    paths = {name: scratch_path(spark, "table") for name in ("lineitem", "orders", "nothing")}
+    lines = with_keys(_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    tables.overwrite(lines.where("l_returnflag <> 'R'"), paths["lineitem"], ROW_KEY, 8)
+    tables.append(lines.where("l_returnflag = 'R'"), paths["lineitem"], ROW_KEY)
+    orders = _table(spark, sf_dir, "orders")
+    tables.overwrite(with_keys(_merge_target(orders), ["o_orderkey"]), paths["orders"], ROW_KEY, 8)
+    apply_merge(spark, paths["orders"], with_keys(_merge_batch(orders), ["o_orderkey"]), ["o_orderkey"])
+    tables.create_or_replace(spark, paths["nothing"], lines.schema, 8)
+    counts = tables.stored_row_counts(spark, paths)
+    rows = [(name, sum(buckets.values())) for name, buckets in counts.items()]
+    return spark.createDataFrame(rows, "table_name string, n_rows long")
+
+
 # --- Merge ----------------------------------------------------------------------
 # The target holds the orders up to 1997; the batch brings those since 1996, with
 # a new price for the pending ones. Every order is in one of them or in both.
@@ -914,6 +934,47 @@ def requested_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.parse_filters(responses).select("qid", "status", keyword.alias("keyword"))
 
 
+_ASKED_SQL = """
+    WITH asked AS (
+        SELECT o_orderkey AS qid, concat('Which orders of customer ', o_custkey, ' are ', o_orderpriority, '?') AS prompt,
+               o_orderpriority <> '1-URGENT' AS first_run
+        FROM orders),
+    counts AS (
+        SELECT count(DISTINCT prompt) AS prompts, count(DISTINCT prompt) FILTER (first_run) AS first_answers FROM asked)
+"""
+
+
+@_register(_ASKED_SQL + """
+    SELECT qid, first_run, concat(length(prompt), ' characters read') AS answer, prompts, first_answers,
+           prompts - first_answers AS first_failures, first_answers AS later_known,
+           prompts - first_answers AS later_answers
+    FROM asked CROSS JOIN counts
+""")
+def resumed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers through a ledger: a first run whose model refuses some prompts, and a second
+    one that asks only these."""
+
+    class Refuses(answers.PromptLength):
+        def generate(self, prompt: str) -> str:
+            if "1-URGENT" in prompt:
+                raise ConnectionError(prompt)
+            return super().generate(prompt)
+
+    prompt = F.concat(F.lit("Which orders of customer "), "o_custkey", F.lit(" are "), "o_orderpriority", F.lit("?"))
+    asked = _table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("qid"), prompt.alias("prompt"), F.lit(filters.OK).alias("status")
+    )
+    kept, how = scratch_path(spark, "ledger"), {"retries": ledger.Retries(2, 0.0), "buckets": 8}
+    first, tried = ledger.generate_kept(asked, kept, "length-1", Refuses, **how)
+    first = stage(first.select("qid", (F.col("status") == filters.OK).alias("first_run")), "first").df
+    later, again = ledger.generate_kept(asked, kept, "length-1", answers.PromptLength, **how)
+    number = lambda n: F.lit(n).cast("long")
+    return later.join(first, "qid").select(
+        "qid", "first_run", "answer", number(tried.prompts).alias("prompts"),
+        number(tried.answered).alias("first_answers"), number(tried.failed).alias("first_failures"),
+        number(again.known).alias("later_known"), number(again.answered).alias("later_answers"))
+
+
 # --- Vector-only answers and transcripts -------------------------------------------
 
 _TRANSCRIPT_SQL = f"""

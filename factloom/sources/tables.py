@@ -15,7 +15,7 @@ rewrites only the buckets in which a row changed. One writer at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +87,34 @@ def read_current(spark: SparkSession, path: str, only: Iterable[int] | None = No
     return rows.drop("snapshot", BUCKET)
 
 
+def footer_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``(snapshot, key_bucket, rows)`` of the current content, counted from the footers
+    of its files: no column is read. The frame belongs to a session of its own, as the
+    reader that pushes counts to the footers is chosen by settings."""
+    apart = spark.newSession()
+    v1 = apart.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    apart.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in v1 if s.strip() != "parquet"))
+    apart.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    _, live = _live_buckets(spark, path)
+    folders = [folder for bucket in live.values() for folder in bucket]
+    if not folders:
+        return apart.createDataFrame([], f"snapshot string, {BUCKET} int, rows long")
+    rows = apart.read.option("basePath", path).parquet(*folders)
+    # A count is pushed down if it is grouped by all partition columns.
+    return rows.groupBy("snapshot", BUCKET).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def stored_row_counts(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, dict[int, int]]:
+    """Rows of each named table by bucket, from footers alone. What comes to the driver
+    is a number per bucket and snapshot."""
+    counts: dict[str, dict[int, int]] = {}
+    for name, path in paths.items():
+        found = counts[name] = {}
+        for row in footer_counts(spark, path).collect():
+            found[row[BUCKET]] = found.get(row[BUCKET], 0) + row.rows
+    return counts
+
+
 def drop_superseded(spark: SparkSession, path: str) -> int:
     """Delete the snapshots before the last complete base, once nobody reads
     them any more; return how many there were."""

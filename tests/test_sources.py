@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factloom.schemas import FILTERS, RAW, SRC, VEC, conform
+from factloom.sources import tables
 from factloom.sources.landing import read_landing
 
 SMALL = T.StructType(
@@ -108,3 +109,25 @@ def test_differing_headers_and_bad_values_fail(spark, landing):
 def test_header_without_rows(spark, landing):
     df = read_landing(spark, landing("a.csv", "player_id,player_name,age\n"), SMALL)
     assert df.count() == 0 and df.schema == SMALL
+
+
+def test_rows_are_counted_from_footers(spark, table):
+    rows = spark.range(1000).withColumn("row_sk", F.col("id") % 7)
+    tables.overwrite(rows, table, "row_sk", 4)
+    tables.append(rows.where("id < 10"), table, "row_sk")
+    expected = {b: tables.read_current(spark, table, [b]).count() for b in range(4)}
+    assert tables.stored_row_counts(spark, {"t": table}) == {"t": expected}
+    # A bucket that a merge rewrites counts once.
+    tables.replace_buckets(rows.where("row_sk = 1"), rows.where("id < 0"), table, "row_sk")
+    changed = {b: tables.read_current(spark, table, [b]).count() for b in range(4)}
+    assert tables.stored_row_counts(spark, {"t": table})["t"] == changed != expected
+    plan = tables.footer_counts(spark, table)._jdf.queryExecution().toString()
+    assert "PushedAggregation: [COUNT(*)" in plan or "PushedAggregation: [COUNT(1)" in plan, plan
+    assert "id#" not in plan.split("== Physical Plan ==")[1]
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_an_empty_table_counts_nothing(spark, table):
+    tables.create_or_replace(spark, table, T.StructType([T.StructField("row_sk", T.LongType())]), 4)
+    assert tables.stored_row_counts(spark, {"t": table}) == {"t": {}}
+    assert tables.stored_row_counts(spark, {}) == {}
