@@ -28,6 +28,7 @@ from factloom.operators.merge import (  # noqa: E402
     stage_source,
 )
 from factloom.operators.prompts import GREETING, HYBRID, VECTOR_ONLY  # noqa: E402
+from factloom.operators.terms import LONGEST  # noqa: E402
 from factloom.plans import answering, loads  # noqa: E402
 from factloom.schemas import CSV_FORMAT, ROW_HASH, ROW_KEY, VECTOR_DIM  # noqa: E402
 from factloom.sources import inference, tables  # noqa: E402
@@ -885,6 +886,28 @@ def extract_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("qid", "question", F.array_join("hard_keywords", "|").alias("keywords"), "semantic_query")
 
 
+@_register("""
+    SELECT c_custkey AS qid, array_to_string(list_sort([concat(n_name, ' ', r_name), c_mktsegment]), '|') AS keywords,
+           concat('Does ', c_name, ' of trade in') AS semantic_query
+    FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+""")
+def longest_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keywords of many questions where terms share words: only the leftmost, longest count."""
+    people = (
+        _table(spark, sf_dir, "customer")
+        .join(_table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .withColumn("place", F.concat_ws(" ", "n_name", "r_name"))
+    )
+    asked = people.select(
+        F.col("c_custkey").alias("qid"),
+        F.format_string("Does %s of %s trade in %s?", "c_name", "place", "c_mktsegment").alias("question"),
+    )
+    known = filters.vocabulary(people, ["n_name", "r_name", "place", "c_mktsegment"])
+    found = filters.extract_filters(asked, known, overlaps=LONGEST)
+    return found.select("qid", F.array_join("hard_keywords", "|").alias("keywords"), "semantic_query")
+
+
 @_register("""
     SELECT concat('n', c_custkey) AS id, 'ok' AS status, c_mktsegment AS keyword, c_name AS semantic_query
     FROM customer

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from factloom.functions.text import render
 from factloom.operators.prompts import EXTRACTION_PROMPT
+from factloom.operators.terms import ALL, find_terms, prefix_tree
 from factloom.schemas import FILTERS
-from factloom.sources.staging import stage
 
 OK = "ok"
 BAD_FILTERS = "bad_filters"
@@ -32,23 +32,22 @@ def vocabulary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def extract_filters(
-    questions: DataFrame, terms: DataFrame, question: str = "question"
+    questions: DataFrame, terms: DataFrame, question: str = "question", overlaps: str = ALL
 ) -> DataFrame:
     """Add ``hard_keywords``, the vocabulary terms a question contains, and
     ``semantic_query``, the words that belong to none of them (the whole
     question if nothing is left).
 
-    A term of any number of words matches whole words, whatever their case. Words are cut at white space and freed of punctuation at both ends.
+    A term of any number of words matches whole words, whatever their case. The words
+    of a question are cut at white space and freed of punctuation at both ends, those of
+    a term are cut at blanks and taken as they are. Of terms that share words all are
+    found; with ``overlaps="longest"`` only the leftmost and there the longest.
     """
-    longest = F.max(F.size(words(F.col("term"))))
-    known = stage(terms.select("term", F.lower("term").alias("_gram")).distinct(), "terms", {"longest": longest})
+    known = terms.select("term", F.split("term", " ").alias("words")).where("term IS NOT NULL").distinct()
     worded = questions.withColumn("_words", words(F.col(question)))
-    grams = worded.select("qid", F.explode(_grams(F.col("_words"), max(known.metrics["longest"] or 1, 1))).alias("g"))
-    hits = grams.select("qid", "g.*").join(known.side(), F.col("gram") == F.col("_gram"))
-    found = hits.groupBy("qid").agg(
-        F.sort_array(F.collect_set("term")).alias("_terms"),
-        F.flatten(F.collect_list(F.sequence("start", F.expr("start + size - 1")))).alias("_covered"),
-    )
+    texts = worded.where(F.col("_words").isNotNull()).select("qid", F.col("_words").alias("words"))
+    found = find_terms(texts, prefix_tree(known), overlaps)
+    found = found.select("qid", F.col("terms").alias("_terms"), F.col("covered").alias("_covered"))
     none = F.array().cast("array<string>")
     left = F.filter("_words", lambda w, i: ~F.array_contains(F.col("_covered"), i))
     rest = F.array_join(F.coalesce(left, F.col("_words")), " ")
@@ -68,23 +67,6 @@ def words(text: Column) -> Column:
     return F.filter(trimmed, lambda w: w != "")
 
 
-def _grams(word_list: Column, max_words: int) -> Column:
-    """All runs of up to ``max_words`` words, as (gram, start, size)."""
-    return F.concat(*[_runs(word_list, n) for n in range(1, max_words + 1)])
-
-
-def _runs(word_list: Column, n: int) -> Column:
-    starts = F.when(F.size(word_list) >= n, F.sequence(F.lit(0), F.size(word_list) - n))
-    return F.transform(
-        F.coalesce(starts, F.array().cast("array<int>")),
-        lambda i: F.struct(
-            F.lower(F.array_join(F.slice(word_list, i + 1, n), " ")).alias("gram"),
-            i.alias("start"),
-            F.lit(n).alias("size"),
-        ),
-    )
-
-
 def request_filters(
     questions: DataFrame, make_extractor: Callable[[], Extractor], question: str = "question"
 ) -> DataFrame:
