@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from factloom.functions.hashing import portable_hash, with_keys  # noqa: E402
 from factloom.functions.text import contains_all, sentence  # noqa: E402
 from factloom.functions.vectors import check_dim, to_json_text, to_vector  # noqa: E402
-from factloom.operators import answers, filters, group_state, ledger, search  # noqa: E402
+from factloom.operators import answers, filters, group_state, keyword_index, ledger, search  # noqa: E402
 from factloom.operators.embed import HashingEmbedder, embed, embed_distinct  # noqa: E402
 from factloom.operators.enrich import enrich, group_max  # noqa: E402
 from factloom.operators.merge import (  # noqa: E402
@@ -743,6 +743,24 @@ def keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").where(wanted).select("doc_id", "lang", "source")
 
 
+@_register("""
+    SELECT doc_id, lang, source, 'plain' AS kind FROM documents
+    WHERE text ILIKE '%é%' AND text ILIKE '%tion%' AND text ILIKE '%THE%'
+    UNION ALL
+    SELECT doc_id, lang, source, 'wildcards' FROM documents WHERE text ILIKE '%der%und_die%'
+""")
+def indexed_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same filter over stored groups, of which only those with the keywords' trigrams
+    are read."""
+    docs, path = _table(spark, sf_dir, "documents"), scratch_path(spark, "indexed")
+    keyword_index.build(docs, path, 32, ["lang", "source", "doc_id"], "text")
+    plain = keyword_index.find(spark, path, ["é", "TION", "T'HE"], text="text").df
+    wild = keyword_index.find(spark, path, ["der%und_die"], text="text").df
+    columns = ("doc_id", "lang", "source")
+    return plain.select(*columns, F.lit("plain").alias("kind")).unionByName(
+        wild.select(*columns, F.lit("wildcards").alias("kind")))
+
+
 @_register(f"""
     WITH docs AS ({_CUSTOMER_DOCS_SQL})
     SELECT n_nationkey AS qid, count(doc_key) AS matches FROM nation LEFT JOIN docs
