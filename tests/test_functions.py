@@ -120,3 +120,41 @@ def test_columns_of_any_name_are_hashed(spark):
     df = spark.createDataFrame([(1, 2, "x"), (1, 3, "x")], "`a.b` int, `c``d` int, `e f` string")
     got = hashing.with_keys(df, ["a.b"]).collect()
     assert got[0]["row_sk"] == got[1]["row_sk"] and got[0]["row_hash"] != got[1]["row_hash"]
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_vectors_are_made_next_to_their_rows_where_there_are_many(spark, monkeypatch, most):
+    """No vector of a text with few rows is stored or joined; each is made once, in small steps."""
+    from factloom.operators import embed as module
+
+    class Counting(HashingEmbedder):
+        def encode(self, texts):
+            assert 0 < len(texts) <= 4 and len(set(texts)) == len(texts)
+            return super().encode(texts)
+
+    monkeypatch.setattr(module, "BROADCAST_BYTES", most, raising=False)
+    monkeypatch.setattr(module, "TASK_ROWS", 50, raising=False)
+    plain_stage, staged = module.stage, {}
+
+    def counting(df, label, *metrics, **options):
+        staged[label] = (done := plain_stage(df, label, *metrics, **options)).rows
+        return done
+
+    monkeypatch.setattr(module, "stage", counting)
+    texts = ["hot", None, *(f"a b{i // 3}" for i in range(120))] + ["hot", None] * 90
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").repartition(3)
+    made = embed_distinct(df, "t", "v", lambda: Counting(16, 4)).collect()
+    model = HashingEmbedder(16)
+    assert {r.id: r.v for r in made} == {i: None if t is None else model.encode([t])[0].tolist() for i, t in enumerate(texts)}
+    assert len(made) == len(texts) and staged.get("vectors") == (41 if most else 1)
+
+
+def test_a_model_is_given_few_bytes_of_text_at_once(spark):
+    class Frugal(HashingEmbedder):
+        def encode(self, texts):
+            assert len(texts) == 1 or sum(map(len, texts)) <= 4 << 20
+            return super().encode(texts)
+
+    df = spark.range(0, 90, 1, 1).select("id", F.when(F.col("id") % 9 > 0, F.concat(F.lit("a "), F.repeat(F.lit("x"), F.when(F.col("id") == 5, 5_000_000).otherwise(400_000)))).alias("t"))
+    got = embed(df, "t", "v", lambda: Frugal(8)).select("id", F.col("v").isNull().alias("none"), F.aggregate("v", F.lit(0.0), lambda s, x: s + x).alias("words")).collect()
+    assert {r.id: (r.none, r.words) for r in got} == {i: (i % 9 == 0, 2.0 if i % 9 else None) for i in range(90)}
