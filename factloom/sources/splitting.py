@@ -27,6 +27,7 @@ from factloom.schemas import CSV_FORMAT
 from factloom.sources.staging import Staged, stage
 
 QUOTE, COMMA = '"', ","
+TASK_BYTES, TASKS = 32 << 20, 4
 
 
 def ends_inside(line: str, inside: bool) -> bool:
@@ -50,10 +51,20 @@ def ends_inside(line: str, inside: bool) -> bool:
 
 
 def _lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """The physical lines of all files with the file and byte range they come from, in order."""
+    """The physical lines of all files with the file and byte range they come from, in order.
+    A task reads many ranges one after the other: what tasks report to the driver does not
+    grow with the number of ranges."""
     lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", pattern).text(path)
-    return lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-                        F.monotonically_increasing_id().alias("line"))
+    return _few_tasks(lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                                   F.monotonically_increasing_id().alias("line")), path)
+
+
+def _few_tasks(df: DataFrame, path: str) -> DataFrame:
+    """Tasks of ``TASK_BYTES`` of the files at ``path``, and ``TASKS`` per core at least."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return df.coalesce(max(TASKS * spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))
 
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
@@ -94,10 +105,17 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def ranges(lines: DataFrame) -> Staged:
-    """(file, start, begins, owner): whether each range begins inside a field, and the range
-    in which the record that it then goes on with began."""
-    answers = stage(lines.select("value", "file", "start").mapInArrow(
+    """(file, start, begins, owner, plain, first): whether each range begins inside a field, the
+    range in which the record that it then goes on with began, whether its file has no quotes
+    at all, and its first line."""
+    # Only lines with a quote change anything; a range without one goes on as it began.
+    quoted = lines.where(F.col("value").contains(QUOTE)).select("value", "file", "start")
+    places = stage(lines.groupBy("file", "start").agg(F.min("line").alias("first")), "range-places").df
+    found = stage(quoted.mapInArrow(
         _answers, "file string, start long, outside boolean, inside boolean, closes boolean"), "range-answers").df
+    same = {"outside": False, "inside": True, "closes": False}
+    changed = found.withColumn("quoted", F.lit(1))
+    answers = places.join(changed, ["file", "start"], "left").fillna(same | {"quoted": 0})
     # One row per byte range; a file of terabytes has some ten thousand.
     along = Window.partitionBy("file").orderBy("start")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
@@ -108,7 +126,10 @@ def ranges(lines: DataFrame) -> Staged:
     odd = (F.col("turned") - F.coalesce("last.turns", F.lit(0))) % 2 == 1
     known = known.withColumn("begins", F.coalesce("last.outside", F.lit(False)) != odd)
     starts_record = F.when(~F.col("begins") | F.col("closes"), F.col("start"))
-    return stage(known.select("file", "start", "begins", F.last(starts_record, ignorenulls=True).over(before).alias("owner")), "ranges")
+    within = Window.partitionBy("file")
+    return stage(known.select(
+        "file", "start", "begins", F.last(starts_record, ignorenulls=True).over(before).alias("owner"),
+        (F.max("quoted").over(within) == 0).alias("plain"), "first"), "ranges")
 
 
 _PARTS = pa.schema([("file", pa.string()), ("start", pa.int64()), ("owner", pa.int64()), ("header", pa.bool_()), ("text", pa.string())])
@@ -170,16 +191,31 @@ def records(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame
     fields. ``header`` marks the first of a file. Blank lines are left out."""
     lines = _lines(spark, path, pattern)
     known = ranges(lines)
-    joined = lines.join(known.side(), ["file", "start"])
+    kinds = known.df.agg(F.bool_or("plain").alias("plain"), F.bool_or(~F.col("plain")).alias("quoted")).first()
+    every = None
+    if kinds.plain or not kinds.quoted:
+        # A line of a file without quotes is a record: Python has nothing to do there.
+        plain = known.side(known.df.where("plain AND start = 0").select("file", "first"))
+        whole = lines.join(plain, "file").select("file", (F.col("line") == F.col("first")).alias("header"), F.col("value").alias("text"))
+        every = _few_tasks(stage(whole, "plain-records").df, path)
+    if kinds.quoted:
+        cut = _quoted_records(lines, known, path)
+        every = cut if every is None else every.unionByName(cut)
+    return every.withColumn("text", F.regexp_replace("text", r"\r\z", "")).where("text <> ''")
+
+
+def _quoted_records(lines: DataFrame, known: Staged, path: str) -> DataFrame:
+    """The records of the files that hold quotes."""
+    places = known.side(known.df.where("NOT plain").select("file", "start", "begins", "owner"))
+    joined = lines.join(places, ["file", "start"])
     if not known.small:  # the join was shuffled
         joined = joined.repartition("file", "start").sortWithinPartitions("file", "start", "line")
-    parts = stage(joined.select("file", "start", "value", "begins", "owner").mapInArrow(
-        _records, "file string, start long, owner long, header boolean, text string"), "records").df
+    parts = _few_tasks(stage(joined.select("file", "start", "value", "begins", "owner").mapInArrow(
+        _records, "file string, start long, owner long, header boolean, text string"), "records").df, path)
     cut = parts.where("owner IS NOT NULL").groupBy("file", "owner").agg(
         F.max("header").alias("header"), F.sort_array(F.collect_list(F.struct("start", "text"))).alias("p"))
     cut = cut.select("file", "header", F.concat_ws("\n", "p.text").alias("text"))
-    every = parts.where("owner IS NULL").select("file", "header", "text").unionByName(cut)
-    return every.withColumn("text", F.regexp_replace("text", r"\r\z", "")).where("text <> ''")
+    return parts.where("owner IS NULL").select("file", "header", "text").unionByName(cut)
 
 
 def parse(found: DataFrame, in_file: T.StructType, mode: str) -> DataFrame:

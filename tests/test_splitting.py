@@ -116,3 +116,26 @@ def test_inferred_landing_files(spark, tmp_path):
     rows = read_landing(spark, str(tmp_path / "in"), None, split=True)
     assert [f.dataType.simpleString() for f in rows.schema] == ["int", "decimal(4,2)", "date"]
     assert rows.columns == ["id", "a b", "x.y"] and rows.count() == 2
+
+
+def test_files_without_quotes_do_not_go_to_python(spark, tmp_path, ranges_of, monkeypatch):
+    """Next to a file with quotes; an empty first line, and lines that look like the header, stay what they are."""
+    write(tmp_path / "in", "a.csv", "id,text,x\n" + "".join(f"{i},t{i},\n\n" for i in range(40)) + "9,last,x")
+    write(tmp_path / "in", "b.csv", "id,text,x\r\n" + "".join(f"{i},u{i},id\r\n" for i in range(40)))
+    ranges_of("64")
+    got, expected = both(spark, tmp_path / "in")
+    assert got == expected and len(got) == 81
+    with monkeypatch.context() as m:
+        m.setattr(splitting, "_records", None)
+        assert both(spark, tmp_path / "in")[0] == expected
+    write(tmp_path / "in", "c.csv", 'id,text,x\n1,"a\nb",c\n')
+    got, expected = both(spark, tmp_path / "in")
+    assert got == expected and len(got) == 82
+
+
+def test_a_task_reads_many_ranges(spark, tmp_path, ranges_of, monkeypatch):
+    monkeypatch.setattr(splitting, "TASKS", 1, raising=False)
+    write(tmp_path / "in", "a.csv", "id,text,x\n" + "".join(f'{i},"a\nb",c\n' for i in range(2000)))
+    ranges_of("256")
+    found = splitting.records(spark, str(tmp_path / "in"))
+    assert found.count() == 2001 and found.rdd.getNumPartitions() <= 3 * spark.sparkContext.defaultParallelism
