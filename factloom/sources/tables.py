@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 BUCKET = "key_bucket"
 DEFAULT_BUCKETS = 64
+OPEN_FILES = 64
 
 
 def glob(spark: SparkSession, pattern: str) -> list[str]:
@@ -145,10 +146,17 @@ def _gathered(df: DataFrame, key: str, buckets: int) -> DataFrame:
 
 
 def _write_buckets(df: DataFrame, target: str) -> int:
-    """Write by bucket; count the rows in the same pass."""
-    seen = Observation()
+    """Write by bucket; count the rows in the same pass. Up to ``OPEN_FILES`` buckets are
+    written side by side: sorting them would hold all rows of a task, and vectors that take
+    little room in a shuffle take gigabytes in memory."""
+    spark, name, seen = df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.partitionBy(BUCKET).parquet(target)
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(OPEN_FILES))
+    try:
+        counted.write.partitionBy(BUCKET).parquet(target)
+    finally:
+        spark.conf.set(name, before)
     return seen.get["rows"]
 
 
