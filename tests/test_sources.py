@@ -131,3 +131,17 @@ def test_an_empty_table_counts_nothing(spark, table):
     tables.create_or_replace(spark, table, T.StructType([T.StructField("row_sk", T.LongType())]), 4)
     assert tables.stored_row_counts(spark, {"t": table}) == {"t": {}}
     assert tables.stored_row_counts(spark, {}) == {}
+
+
+def test_a_table_is_written_by_bucket_without_sorting_its_rows(spark, table, monkeypatch):
+    """A sort holds all rows of a task: vectors that are small in a shuffle are large there."""
+    from pyspark.sql import functions as F
+
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen = spark.conf.get(name), []
+    rows = spark.range(0, 4000, 1, 2).select(F.col("id").alias("row_sk"), F.array_repeat(F.lit(0.0), 768).alias("v"))
+    plain = type(rows.write).parquet
+    monkeypatch.setattr(type(rows.write), "parquet", lambda *a, **k: (seen.append(int(spark.conf.get(name))), plain(*a, **k))[1])
+    assert tables.overwrite(rows, table, "row_sk", 8) == 4000
+    assert seen and min(seen) >= 8 and spark.conf.get(name) == before
+    assert tables.read_current(spark, table).count() == 4000
