@@ -15,7 +15,7 @@ rewrites only the buckets in which a row changed. One writer at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +47,7 @@ def overwrite(df: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS
     """Make ``df`` the whole content of the table; return its row count. Choose
     the number of buckets so that one is a few gigabytes."""
     target = _next_snapshot(df.sparkSession, path, "base", buckets)
-    rows = _write_buckets(_gathered(df, key, buckets), target)
+    rows = _write_buckets(gathered(df, key, buckets), target)
     if not rows:
         # A partitioned write of no rows leaves no file that tells the columns.
         create_or_replace(df.sparkSession, path, df.schema, buckets)
@@ -58,7 +58,7 @@ def append(df: DataFrame, path: str, key: str) -> int:
     """Add rows and leave all others as they lie; return how many were added."""
     spark = df.sparkSession
     buckets = bucket_count(spark, path)
-    return _write_buckets(_gathered(df, key, buckets), _next_snapshot(spark, path, "append", buckets))
+    return _write_buckets(gathered(df, key, buckets), _next_snapshot(spark, path, "append", buckets))
 
 
 def replace_buckets(
@@ -71,9 +71,16 @@ def replace_buckets(
     buckets = bucket_count(spark, path)
     target = _next_snapshot(spark, path, "delta", buckets)
     if in_place:
-        bucketed = kept.withColumn(BUCKET, bucket_of(key, buckets))
-        return _write_buckets(bucketed.unionByName(_gathered(new, key, buckets)), target)
-    return _write_buckets(_gathered(kept.unionByName(new), key, buckets), target)
+        return _write_buckets(with_bucket(kept, key, buckets).unionByName(gathered(new, key, buckets)), target)
+    return _write_buckets(gathered(kept.unionByName(new), key, buckets), target)
+
+
+def replace_in_rounds(spark: SparkSession, path: str, rounds: Sequence[DataFrame]) -> int:
+    """Replace the buckets that occur in the rows by the rows; return how many there are. The
+    rows name their bucket and lie by it. Each frame is a job of its own; all belong to one
+    snapshot, which the last of them completes."""
+    target = _next_snapshot(spark, path, "delta", bucket_count(spark, path))
+    return sum(_write_buckets(rows, target, last=i == len(rounds)) for i, rows in enumerate(rounds, 1))
 
 
 def read_current(spark: SparkSession, path: str, only: Iterable[int] | None = None) -> DataFrame:
@@ -139,22 +146,34 @@ def bucket_of(key: str, buckets: int):
     return F.pmod(F.col(key), F.lit(buckets)).cast("int")
 
 
-def _gathered(df: DataFrame, key: str, buckets: int) -> DataFrame:
+def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, bucket_of(key, buckets))
+
+
+def in_ranges(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """The rows with their bucket, in ranges of bucket and key: rows of one key are in one
+    task, and a task has few buckets to write."""
+    return with_bucket(df, key, buckets).repartitionByRange(BUCKET, key)
+
+
+def gathered(df: DataFrame, key: str, buckets: int) -> DataFrame:
     """The rows of a bucket in as few tasks as their size allows: a rebalance
     splits what is too large for one task."""
-    return df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", F.col(BUCKET))
+    return with_bucket(df, key, buckets).hint("rebalance", F.col(BUCKET))
 
 
-def _write_buckets(df: DataFrame, target: str) -> int:
+def _write_buckets(df: DataFrame, target: str, last: bool = True) -> int:
     """Write by bucket; count the rows in the same pass. Up to ``OPEN_FILES`` buckets are
     written side by side: sorting them would hold all rows of a task, and vectors that take
-    little room in a shuffle take gigabytes in memory."""
+    little room in a shuffle take gigabytes in memory. Only the ``last`` write to a snapshot
+    marks it complete."""
     spark, name, seen = df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     before = spark.conf.get(name)
     spark.conf.set(name, str(OPEN_FILES))
     try:
-        counted.write.partitionBy(BUCKET).parquet(target)
+        writer = counted.write.mode("append").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(last).lower())
+        writer.partitionBy(BUCKET).parquet(target)
     finally:
         spark.conf.set(name, before)
     return seen.get["rows"]

@@ -210,3 +210,89 @@ def test_overwrite_with_no_rows_gives_an_empty_table(spark, table):
     assert tables.read_current(spark, table).columns == source.columns and not content(spark, table)
     assert apply_merge(spark, table, source, KEYS).inserted == 1
     assert content(spark, table) == [("a", "1", 1)]
+
+
+@pytest.fixture(params=[("BROADCAST_BYTES", -1), ("BROADCAST_ROWS", 3), ("BROADCAST_ROWS", -1)], ids=str)
+def any_large_batch(request, monkeypatch):
+    """Batches too large to broadcast: their updates sent at once, in rounds, or not at all."""
+    monkeypatch.setattr(staging, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(staging, *request.param)
+
+
+def test_large_batch_replaces_rows_with_null_and_repeated_keys(spark, table, any_large_batch):
+    names = [*"abcdefghij", None]
+    old = [(n, m, "t", 1) for n in names for m in ("1", None)]
+    tables.overwrite(with_keys(frame(spark, *old, old[0], old[0], old[-1]), KEYS), table, ROW_KEY, 4)
+    new = [(n, m, "t", 2) for n in ("a", "c", "e", "g", None) for m in ("1", None)] + [("b", "1", "t", 1), ("z", None, "t", 3)]
+    got = apply_merge(spark, table, with_keys(frame(spark, *new), KEYS), KEYS)
+    assert (got.inserted, got.updated, got.unchanged) == (1, 10, 1)
+    now = {(n, m): g for n, m, _, g in [*old, *new]}
+    copies = [("a", "1", 2)] * 2 + [(None, None, 2)]
+    assert content(spark, table) == sorted([(*k, g) for k, g in now.items()] + copies, key=repr)
+    base, _ = tables._live_buckets(spark, table)
+    later = [s for s in tables._complete_snapshots(spark, table) if s > base]
+    assert [s.rsplit("-", 2)[1] for s in later] == ["delta", "append"]
+    assert got.rows_rewritten == sum(
+        spark.read.parquet(folder).count() for folder in tables.glob(spark, f"{later[0]}/{tables.BUCKET}=*"))
+
+
+def test_rows_of_one_surrogate_key_are_told_apart_by_their_key(spark, table, any_large_batch):
+    same = lambda rows: with_keys(rows, KEYS).withColumn(ROW_KEY, F.lit(5).cast("long"))
+    tables.overwrite(same(frame(spark, ("a", "1", "t", 1), ("b", "1", "t", 1), ("c", "1", "t", 1))), table, ROW_KEY, 4)
+    got = apply_merge(spark, table, same(frame(spark, ("a", "1", "t", 2), ("d", "1", "t", 2))), KEYS)
+    assert (got.inserted, got.updated) == (1, 1)
+    assert content(spark, table) == [("a", "1", 2), ("b", "1", 1), ("c", "1", 1), ("d", "1", 2)]
+
+
+def test_unfinished_rounds_are_ignored(spark, table, monkeypatch):
+    monkeypatch.setattr(staging, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(staging, "BROADCAST_ROWS", 1)
+    rows = frame(spark, *[(n, "1", "t", 1) for n in "abcdefghijklmnop"])
+    tables.overwrite(with_keys(rows, KEYS), table, ROW_KEY, 4)
+    newer, write = with_keys(rows.withColumn("goals", F.lit(2)), KEYS), tables._write_buckets
+
+    def stopped(df, target, last=True):
+        if last:
+            raise RuntimeError("stopped")
+        return write(df, target, last)
+
+    monkeypatch.setattr(tables, "_write_buckets", stopped)
+    with pytest.raises(RuntimeError):
+        apply_merge(spark, table, newer, KEYS)
+    assert {g for _, _, g in content(spark, table)} == {1}
+    monkeypatch.setattr(tables, "_write_buckets", write)
+    assert apply_merge(spark, table, newer, KEYS).updated == 16
+    assert content(spark, table) == [(n, "1", 2) for n in "abcdefghijklmnop"]
+
+
+def test_target_is_shuffled_once_to_classify_a_large_batch(spark, sf, monkeypatch):
+    lines, keys = sf("lineitem"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    rows = with_keys(lines, keys)
+    source = stage_source(rows, keys)
+    monkeypatch.setattr(staging, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(staging, "BROADCAST_BYTES", -1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = classify(rows, source, keys)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_large_batch_leaves_rows_without_an_update_where_they_lie(spark, sf, table, monkeypatch):
+    monkeypatch.setattr(staging, "BROADCAST_BYTES", -1)
+    customers = with_keys(sf("customer"), ["c_custkey"])
+    tables.overwrite(customers, table, ROW_KEY, 4)
+    newer = with_keys(sf("customer").where("c_custkey % 10 = 0").withColumn("c_acctbal", F.lit(0.0)), ["c_custkey"])
+    plans, write = [], tables._write_buckets
+
+    def seen(df, *args, **named):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, *args, **named)
+
+    monkeypatch.setattr(tables, "_write_buckets", seen)
+    assert apply_merge(spark, table, newer, ["c_custkey"]).updated == newer.count()
+    [plan] = plans
+    # The rebalance is below the union, on the side of what is replaced.
+    assert plan.index("Union") < plan.index("RebalancePartitions") and "LeftSemi" in plan
