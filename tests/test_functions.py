@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import weakref
 
 import numpy as np
 import pytest
@@ -158,3 +159,30 @@ def test_a_model_is_given_few_bytes_of_text_at_once(spark):
     df = spark.range(0, 90, 1, 1).select("id", F.when(F.col("id") % 9 > 0, F.concat(F.lit("a "), F.repeat(F.lit("x"), F.when(F.col("id") == 5, 5_000_000).otherwise(400_000)))).alias("t"))
     got = embed(df, "t", "v", lambda: Frugal(8)).select("id", F.col("v").isNull().alias("none"), F.aggregate("v", F.lit(0.0), lambda s, x: s + x).alias("words")).collect()
     assert {r.id: (r.none, r.words) for r in got} == {i: (i % 9 == 0, 2.0 if i % 9 else None) for i in range(90)}
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_a_task_holds_few_vectors_however_many_rows_it_has(spark, monkeypatch, most):
+    """What a model has made is let go before it makes much more, next to the rows and before a join."""
+    from factloom.operators import embed as module
+
+    class Tracked(HashingEmbedder):
+        def encode(self, texts):
+            self.made = [seen for seen in getattr(self, "made", []) if seen() is not None]
+            assert len(self.made) <= 4, "vectors of earlier calls are still held"
+            values = super().encode(texts)
+            self.made.append(weakref.ref(values))
+            return values
+
+    monkeypatch.setattr(module, "BROADCAST_BYTES", most, raising=False)
+    df = spark.range(0, 2000, 1, 1).select("id", F.concat(F.lit("a b"), F.col("id")).alias("t"))
+    for ways in (embed, embed_distinct):
+        made = ways(df, "t", "v", lambda: Tracked(16, 10)).coalesce(1).select("id", F.aggregate("v", F.lit(0.0), lambda s, x: s + x))
+        assert sorted(map(tuple, made.collect())) == [(i, 2.0) for i in range(2000)]
+
+
+def test_a_model_remembers_few_words_however_many_texts_it_reads():
+    model = HashingEmbedder(16)
+    for first in range(0, 400_000, 10_000):
+        counts = model.encode([" ".join(f"w{i}" for i in range(first, first + 10_000))])
+        assert counts.sum() == 10_000 and len(model._known) <= 200_000 + 10_001
